@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _QUERIES = {
+    "op4_quality_rules": "quality",
     "op7_token_output": "token_output",
     "op9_secret_scans": "secrets",
 }
