@@ -5,8 +5,10 @@ from __future__ import annotations
 from importlib import import_module
 
 _QUERIES = {
+    "op3_benchmark_decontamination": "decontaminate",
     "op4_quality_rules": "quality",
     "op7_token_output": "token_output",
+    "op8_license_scans": "licenses",
     "op9_secret_scans": "secrets",
 }
 
