@@ -5,11 +5,13 @@ from __future__ import annotations
 from importlib import import_module
 
 _QUERIES = {
+    "op1_language_id": "language",
     "op3_benchmark_decontamination": "decontaminate",
     "op4_quality_rules": "quality",
     "op7_token_output": "token_output",
     "op8_license_scans": "licenses",
     "op9_secret_scans": "secrets",
+    "op10_chat_formatting": "chat",
 }
 
 
@@ -18,4 +20,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_chat_formatting": import_module(f"{__package__}.chat").SQL}

@@ -21,6 +21,8 @@ are too few to train on it is empty, which zstandard treats as plain compression
 from __future__ import annotations
 
 import hashlib
+import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,7 +40,9 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 TRAIN_DOCS, TRAIN_BYTES, DICT_BYTES = 1000, 8192, 32 << 10
 LEVEL, SEGMENT_DOCS, SEGMENT_BYTES = 3, 512, 4 << 20
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+#: Marks that the tokenizer parts from the letters before them.
+MARKS = ".,;:!?)%$&#*"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -51,13 +55,18 @@ class Encoder:
     """Ids of whole texts, word by word.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so a text's ids are those of its
-    parts between ASCII white space; each distinct part is encoded once and then looked up.
+    parts between ASCII white space; each distinct part is encoded once and then looked up. Letters with marks behind
+    them are looked up as two parts. Parts of letters alone are one word of the tokenizer, whose last id is a word end,
+    so many of them are encoded as one text and cut apart behind the word ends.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on each core
         from tokenizers import Tokenizer
 
         self.model, self.known = Tokenizer.from_file(path), {}
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.model.get_vocab().items() if t.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text, without an end id."""
@@ -65,11 +74,44 @@ class Encoder:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = list({w for ws in words for w in ws if w not in known})
-        for w, e in zip(new, self.model.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+        self._learn({w for ws in words for w in ws if w not in known})
         return [b"".join([known[w] for w in ws]) for ws in words]
 
+    def _learn(self, new: set[bytes]) -> None:
+        known, plain, other, pairs = self.known, set(), [], []
+        for w in new:
+            s = w.decode()
+            core = s.rstrip(MARKS)
+            if core and unicodedata.is_normalized("NFC", core) and core.lower().isalpha():
+                if core == s:
+                    plain.add(w)
+                else:
+                    pairs.append((w, core.encode(), s[len(core) :].encode()))
+            else:
+                other.append(w)
+        for _, core, marks in pairs:
+            if core not in known:
+                plain.add(core)
+            if marks not in known and marks not in new:
+                other.append(marks)
+        plain = list(plain)
+        for at in range(0, len(plain), 1024):
+            part = plain[at : at + 1024]
+            ids = np.array(self.model.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                raw, last = ids.tobytes(), 0
+                for w, cut in zip(part, cuts.tolist(), strict=True):
+                    known[w] = raw[4 * last : 4 * cut]
+                    last = cut
+            else:
+                other += part
+        other = list(dict.fromkeys(other))
+        for w, e in zip(other, self.model.encode_batch([w.decode() for w in other], add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, "<u4").tobytes()
+        for w, core, marks in pairs:
+            known[w] = known[core] + known[marks]
+
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
