@@ -6,6 +6,7 @@ from importlib import import_module
 
 _QUERIES = {
     "op1_language_id": "language",
+    "op2_ngram_jaccard_join": "ngram_join",
     "op3_benchmark_decontamination": "decontaminate",
     "op4_quality_rules": "quality",
     "op7_token_output": "token_output",
