@@ -26,6 +26,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -40,7 +41,7 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 TRAIN_DOCS, TRAIN_BYTES, DICT_BYTES = 1000, 8192, 32 << 10
 LEVEL, SEGMENT_DOCS, SEGMENT_BYTES = 3, 512, 4 << 20
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_200_000
 #: Marks that the tokenizer parts from the letters before them.
 MARKS = ".,;:!?)%$&#*"
 
@@ -74,8 +75,8 @@ class Encoder:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        self._learn({w for ws in words for w in ws if w not in known})
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        self._learn(set(chain.from_iterable(words)).difference(known))
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
     def _learn(self, new: set[bytes]) -> None:
         known, plain, other, pairs = self.known, set(), [], []
@@ -95,9 +96,9 @@ class Encoder:
             if marks not in known and marks not in new:
                 other.append(marks)
         plain = list(plain)
-        for at in range(0, len(plain), 1024):
-            part = plain[at : at + 1024]
-            ids = np.array(self.model.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+        parts = [plain[at : at + 256] for at in range(0, len(plain), 256)]
+        for part, e in zip(parts, self.model.encode_batch_fast([b" ".join(x).decode() for x in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 raw, last = ids.tobytes(), 0
@@ -107,7 +108,7 @@ class Encoder:
             else:
                 other += part
         other = list(dict.fromkeys(other))
-        for w, e in zip(other, self.model.encode_batch([w.decode() for w in other], add_special_tokens=False), strict=True):
+        for w, e in zip(other, self.model.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, "<u4").tobytes()
         for w, core, marks in pairs:
             known[w] = known[core] + known[marks]
@@ -122,7 +123,9 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A zstandard dictionary from serialised ids of at most TRAIN_DOCS documents."""
     import zstandard
 
-    rows = docs.filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").select(F.substring("text", 1, TRAIN_BYTES)).limit(TRAIN_DOCS).collect()
+    # Ids first: a top-k of texts would send as many texts from every task.
+    ids = [r[0] for r in docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).collect()]
+    rows = docs.filter(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).select(F.substring("text", 1, TRAIN_BYTES)).limit(TRAIN_DOCS).collect()
     samples = [x[:TRAIN_BYTES] for x in encoder(path).encode([r[0] for r in rows])]
     try:
         return zstandard.train_dictionary(DICT_BYTES, [x for x in samples if x]).as_bytes()
