@@ -9,6 +9,7 @@ _QUERIES = {
     "op2_ngram_jaccard_join": "ngram_join",
     "op3_benchmark_decontamination": "decontaminate",
     "op4_quality_rules": "quality",
+    "op5_sentencepiece": "pieces",
     "op6_suffix_array_dedup": "suffix_dedup",
     "op7_token_output": "token_output",
     "op8_license_scans": "licenses",
