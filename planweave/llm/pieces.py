@@ -9,7 +9,7 @@ that part from the sample there; their values are Gumbel variables cut at the pa
 value that the next sample would have had, the threshold kappa; a sample's inclusion score is the probability
 ``1 - exp(-exp(log_prob - kappa))`` that it exceeds kappa.
 
-Units are the parts of a text that no piece crosses (spaces with the word behind them, line feeds). Lattices are solved
+Units are the parts of a text that no piece crosses, such as a space with the word behind it, or a line feed. Lattices are solved
 once for each distinct unit of a chunk; sampling runs over all units of a chunk at once. Random numbers come from a hash
 of the row key (doc_id), the seed, the sample's number and the place, so results don't depend on partitions or order.
 
@@ -67,6 +67,9 @@ class Pieces:
         self.near = np.zeros(1 << 20, bool)
         self.near[(h >> U(44)).astype(np.int64)] = True
         self.lengths = sorted({len(x) for x in data})
+        self.inside = np.zeros(1 << 16, bool)  # which two bytes are neighbours in a piece
+        for x in data:
+            self.inside[[a << 8 | b for a, b in zip(x[:-1], x[1:], strict=True)]] = True
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         maybe = np.flatnonzero(self.near[(h >> U(44)).astype(np.int64)])
@@ -94,6 +97,7 @@ class Lattice:
         head = (buf & 0xC0) != 0x80  # characters begin here
         stop = np.append(head, True)
         at_head = np.flatnonzero(head)
+        char = np.cumsum(head) - 1  # of each byte
         node, to, piece = [], [], []
         has_single = np.zeros(n, bool)
         nxt = np.append(at_head[1:], n)
@@ -105,14 +109,14 @@ class Lattice:
             node.append(at)
             to.append(at + length)
             piece.append(ids)
-            has_single[at[nxt[np.searchsorted(at_head, at)] == at + length]] = True
-        bare = np.flatnonzero(~has_single[at_head[np.searchsorted(at_head, np.arange(n), "right") - 1]]) if n else np.zeros(0, np.int64)
+            has_single[at[nxt[char[at]] == at + length]] = True
+        bare = np.flatnonzero(~has_single[at_head[char]]) if n else np.zeros(0, np.int64)
         node.append(bare)
         to.append(bare + 1)
         piece.append(model.byte_id[buf[bare]])
         node, to, piece = np.concatenate(node), np.concatenate(to), np.concatenate(piece)
         left = end[node] - node
-        order = np.lexsort((to, node, left))
+        order = np.argsort(left * n + node)
         node, to, piece, left = node[order], to[order], piece[order], left[order]
         logw = model.weight[piece]
         beta = np.zeros(n + 1)
@@ -126,12 +130,10 @@ class Lattice:
             top = np.maximum.reduceat(value, first)
             value = np.exp(value - np.repeat(top, np.diff(np.append(first, hi - lo))))
             total[node[lo:hi][first]] = beta[node[lo:hi][first]] = top + np.log(np.add.reduceat(value, first))
-        order = np.argsort(node, kind="stable")
-        self.node, self.piece = node[order], piece[order]
+        logp = np.minimum(logw + np.where(done, 0.0, beta[to]) - total[node], 0.0)
+        order = np.argsort(node - 0.5 * np.exp(logp))  # by node, and likely edges first
+        self.node, self.piece, self.logp = node[order], piece[order], logp[order]
         self.to = np.where(done, -1, to)[order]
-        after = np.where(done, 0.0, beta[to])[order]
-        with np.errstate(invalid="ignore"):
-            self.logp = np.minimum(logw[order] + after - total[self.node], 0.0)
         first = np.flatnonzero(np.concatenate([[True], self.node[1:] != self.node[:-1]])) if len(node) else np.zeros(0, np.int64)
         count = np.diff(np.append(first, len(node)))
         p = np.exp(self.logp)
@@ -155,8 +157,13 @@ class Lattice:
         logp, counts = np.zeros(len(unit)), np.zeros(len(unit), np.int64)
         step = 0
         while len(active):
-            u = (mix(key[active] + U(step) * U(0x9E3779B97F4A7C15)) >> U(11)) * 2.0**-53
-            e = np.searchsorted(self.upto, v + u)
+            u = (mix(key[active] + U(step * 0x9E3779B97F4A7C15 % (1 << 64))) >> U(11)) * 2.0**-53
+            x = v + u
+            e = self.first[v]
+            behind = np.flatnonzero(self.upto[e] < x)
+            while len(behind):
+                e[behind] += 1
+                behind = behind[self.upto[e[behind]] < x[behind]]
             logp[active] += self.logp[e]
             counts[active] += 1
             rounds.append((active, self.piece[e]))
@@ -221,14 +228,15 @@ def _log1mexp(x: np.ndarray) -> np.ndarray:
         return np.where(x > -0.69, np.log(-np.expm1(x)), np.log1p(-np.exp(x)))
 
 
-def units_of(texts: list[bytes]) -> tuple[Chunk, np.ndarray, np.ndarray]:
-    """All units of texts, each text with a space before it: bytes, unit starts, and the first unit of each text."""
+def units_of(model: Pieces, texts: list[bytes]) -> tuple[Chunk, np.ndarray, np.ndarray]:
+    """All units of texts, each text with a space before it: bytes, unit starts, and the first unit of each text.
+
+    A unit begins where a character's first byte follows a byte that it follows in no piece."""
     data = [b" " + t if t else b"" for t in texts]
     offs = np.cumsum([0, *map(len, data)])
     buf = np.frombuffer(b"".join(data), np.uint8)
-    space, feed = buf == 32, buf == 10
-    begin = feed.copy()
-    begin[1:] |= feed[:-1] | (space[1:] & ~space[:-1])
+    begin = np.ones(len(buf), bool)
+    begin[1:] = ~model.inside[buf[:-1].astype(np.uint16) << 8 | buf[1:]] & ((buf[1:] & 0xC0) != 0x80)
     begin[offs[:-1][offs[:-1] < len(buf)]] = True
     starts = np.flatnonzero(begin)
     return Chunk(buf, offs, slice(0, len(data))), starts, np.searchsorted(starts, offs)
@@ -236,7 +244,7 @@ def units_of(texts: list[bytes]) -> tuple[Chunk, np.ndarray, np.ndarray]:
 
 def segment(model: Pieces, keys: np.ndarray, texts: list[bytes], k: int = SAMPLES, seed: int = SEED) -> Iterator[list[tuple[np.ndarray, float, float, float]]]:
     """For each text its samples (ids, log probability, perturbed value, inclusion score), best first; ``keys``: row keys."""
-    chunk, starts, first = units_of(texts)
+    chunk, starts, first = units_of(model, texts)
     ends = np.append(starts[1:], len(chunk.buf)) if len(starts) else starts
     h = chunk.hashes(starts, ends)
     _, place, unit = np.unique(h, return_index=True, return_inverse=True)
@@ -246,7 +254,7 @@ def segment(model: Pieces, keys: np.ndarray, texts: list[bytes], k: int = SAMPLE
     lattice = Lattice(model, Chunk(chunk.buf[at], offs, slice(0, len(place))))
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
     number = np.arange(len(starts)) - first[doc]
-    row = mix(keys.astype(np.uint64) + U(seed) * U(0xC2B2AE3D27D4EB4F))
+    row = mix(keys.astype(np.uint64) + U(seed * 0xC2B2AE3D27D4EB4F % (1 << 64)))
     passes = [lattice.sample(unit, mix(row[doc] + number.astype(np.uint64) * U(0xD6E8FEB86659FD93) + U(p + 1))) for p in range(k)]
     noise = [(mix(row[doc] ^ mix(number.astype(np.uint64) + U((p + 1) << 40))) >> U(11)) * 2.0**-53 + 2.0**-54 for p in range(k)]
     for i in range(len(texts)):
