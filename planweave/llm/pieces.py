@@ -316,6 +316,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
+        raw = model.raw.__getitem__
         for batch in batches:
             for chunk in chunks(batch.column("text"), CHUNK_BYTES):
                 rows = batch.slice(chunk.rows.start, chunk.n)
@@ -330,18 +331,11 @@ def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
-    raw = None
-
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nonlocal raw
-        raw = pieces(path).raw.__getitem__
-        yield from run(batches)
-
     ints, reals = [pa.int64()] * 3, [pa.float64()] * 3
     kinds = [*ints, *reals, *([pa.int64(), pa.bool_()] if digests else [pa.list_(pa.int32())])]
     names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", *(["ids_crc32", "decoded"] if digests else ["ids"])]
     ddl = "doc_id long, sample long, n_pieces long, log_prob double, perturbed double, inclusion double, " + ("ids_crc32 long, decoded boolean" if digests else "ids array<int>")
-    return ids_and_text(docs).mapInArrow(start, ddl)
+    return ids_and_text(docs).mapInArrow(run, ddl)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
