@@ -12,6 +12,7 @@ from planweave.functions import geom as G
 from planweave.operators import floors, sinks
 from planweave.operators import relational as R
 from planweave.sources import svg
+from planweave.storage import store
 
 
 @dataclass
@@ -51,13 +52,13 @@ def run_floors(prims: DataFrame, config: Config = Config()) -> Plan:
     """Primitives (floor_id, ord, primitive_id, semantic_id, instance_id, original_type, stroke, role, kind, pts) to regions."""
     lines = prims.filter("kind = 'line'").withColumn("hatching", R.is_hatching("pts", config.hatching) & (F.col("role") == "boundary"))
     walls = lines.filter("role = 'boundary' and not hatching")
-    boxes = close_openings(prims, config) if config.openings.enabled else None
+    boxes = store(close_openings(prims, config), "openings") if config.openings.enabled else None
     canvas = lines.filter("original_type = 'boundary'")
     drawn = walls.select("floor_id", "pts").unionAll(canvas.select("floor_id", "pts"))
     if boxes is not None:
         drawn = drawn.unionAll(R.box_edges(boxes.withColumnRenamed("box_id", "instance_id")).select("floor_id", "pts"))
-    edges = floors.clean_lines(drawn, config.cleaning)
-    faces = floors.faces(edges).filter(F.col("kind") == "face").filter(F.col("area") >= config.separation.min_room_area)
+    edges = store(floors.clean_lines(drawn, config.cleaning), "edges")
+    faces = store(floors.faces(edges), "faces").filter(F.col("kind") == "face").filter(F.col("area") >= config.separation.min_room_area)
     if boxes is not None:
         hit = R.faces_in_boxes(faces, boxes)
         free = faces.join(hit.select("floor_id", "face_id"), ["floor_id", "face_id"], "left_anti")
@@ -69,7 +70,7 @@ def run_floors(prims: DataFrame, config: Config = Config()) -> Plan:
     semantics = objects.groupBy("floor_id", "face_id", "semantic_id").agg(F.count("*").cast("int").alias("n")).groupBy("floor_id", "face_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("semantic_id", "n")))).alias("contained_semantics"))
     known = free.join(hatched, ["floor_id", "face_id"], "left").join(semantics, ["floor_id", "face_id"], "left").withColumn("hatched", F.coalesce("hatched", F.lit(False)))
     known = known.withColumn("locked", F.col("contained_semantics").isNotNull() & ~F.col("hatched"))
-    measured = floors.measure(known)
+    measured = store(floors.measure(known), "measured")
     column = (F.col("area") <= config.separation.separator_column_max_area) & (F.col("aspect") >= config.separation.separator_column_min_aspect)
     sized = measured.filter(~F.col("locked") & (F.col("area") >= config.separation.separator_min_area) & ~column & (F.col("thickness") >= config.separation.separator_min_thickness))
     cuts = R.thresholds(sized, config.separation)
@@ -78,7 +79,7 @@ def run_floors(prims: DataFrame, config: Config = Config()) -> Plan:
     rooms = decided.filter("role = 'room'").withColumn("facil_type", R.type_by_objects()).withColumn("region_id", F.col("face_id"))
     rooms = R.kitchens_near_wc(rooms, config.classification).withColumn("facil_type", R.type_by_shape(config.classification))
     typed = decided.join(rooms.select("floor_id", "face_id", "facil_type"), ["floor_id", "face_id"], "left")
-    regions = floors.walls_and_outline(typed, walls, config.separation)
+    regions = floors.walls_and_outline(store(typed, "typed"), walls, config.separation)
     if hit is not None:
         doors = hit.join(faces.select("floor_id", "face_id", "shell", "holes", "area"), ["floor_id", "face_id"]).join(boxes.select("floor_id", "box_id", "has_arc"), ["floor_id", "box_id"])
         doors = doors.select("floor_id", (F.col("face_id") + (1 << 32)).alias("region_id"), F.when(F.col("is_window"), "window").otherwise("door").alias("role"), F.when(F.col("is_window"), "Window").otherwise("Door").alias("facil_type"), F.array("face_id").alias("members"), "has_arc", "shell", "holes", "area")
