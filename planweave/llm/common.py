@@ -30,11 +30,40 @@ def store(df: DataFrame, name: str = "part") -> DataFrame:
 
 
 def drop_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that are no longer referred to."""
+    """Lets Spark's cleaner delete the shuffle files of plans that are no longer referred to.
+
+    Listeners hold the plan that has just ended for a moment, so the garbage is collected more than once."""
     import gc
+    import time
+
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.6)
+
+
+def released(f):
+    """A function of Arrow batches whose worker gives free memory back to the system when a task ends."""
+    import functools
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    return run
 
 
 def bounded(df: DataFrame, rows: int = 2000) -> DataFrame:

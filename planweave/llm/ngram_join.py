@@ -3,13 +3,14 @@
 1. Every text becomes the set of its hashed word n-grams, its size, and a parity bitmap: each n-gram flips one bit.
    Equal sets are one class at once, by a digest of the set, with partial aggregation.
 2. Two sets with a Jaccard similarity of at least p/q share one of the ``size - ceil(size * p / q) + 1`` smallest hashes
-   of each. Sets that share such a hash, in falling bands of size (a neighbour is at least p/q as large), form a tile;
-   tiles with the same members are one.
+   of each, and l of them if both take l - 1 hashes more. Sets that share such a hash, in falling bands of size (a
+   neighbour is at least p/q as large), form a tile; tiles with the same members are one. A set that stands in fewer
+   tiles than the l that a partner would give it leaves all of them, which parts texts that share a passage only.
 3. In a tile, bit counts bound each overlap from above: sets a and b differ in at least as many n-grams as their
    bitmaps differ in bits. A search from pivots finds the classes of the graph of all pairs that pass this bound and
    gives a spanning forest of it, never all pairs of a group.
-4. Each edge of the forest is checked by intersecting the two sorted arrays. Where an edge fails, its tiles are
-   searched again without the pairs that failed, until no edge fails, so that no true link is lost.
+4. Each edge of the forest is checked by intersecting the two sorted arrays. Tiles in which an edge fails are searched
+   once more: there, every pair between different classes of the edges that passed is checked if it passes the bound.
 5. Classes are the connected components of the edges that passed.
 
 N-grams are named by 64-bit hashes.
@@ -30,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, drop_shuffles, ids_and_text, read, store
+from .common import bounded, drop_shuffles, ids_and_text, read, released, store
 from .components import components
 from .scan import LOWER_TABLE, PLAIN_WORD, Chunk, U, mix, per_chunk, windows
 
 #: Least and most bits of a bitmap, and bits for each n-gram between.
-LEAST_BITS, MOST_BITS, BITS_EACH = 256, 1 << 17, 2
+LEAST_BITS, MOST_BITS, BITS_EACH = 2048, 1 << 17, 4
 
 
 def shingles(chunk: Chunk, k: int) -> Iterator[np.ndarray]:
@@ -59,22 +60,34 @@ def bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
+def _plain(n: int, percent: int) -> int:
+    """How many smallest hashes hold one that any partner has."""
+    return n - -(-percent * n // 100) + 1
+
+
+def _more(n: int, percent: int) -> int:
+    """How many hashes a partner has of the first ``_plain + _more - 1``; rises with n."""
+    return min(1 + _plain(n, percent) // 2, -(-percent * n // 100))
+
+
 def sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, size, digest of the set (null if empty), its smallest hashes, its bitmap."""
+    """doc_id, size, digest of the set (null if empty), its smallest hashes, how many of them are its plain prefix, its bitmap, and the tiles that a partner makes it stand in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for rows, chunk in per_chunk(batches):
-            n, digest, prefix, bits = [], [], [], []
+            n, digest, prefix, bits, plain, least = [], [], [], [], [], []
             for s in shingles(chunk, k):
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                prefix.append(s[: len(s) - -(-percent * len(s) // 100) + 1].view(np.int64) if len(s) else [])
+                plain.append(_plain(len(s), percent))
+                prefix.append(s[: plain[-1] + _more(len(s), percent) - 1].view(np.int64) if len(s) else [])
+                least.append(_more(-(-percent * len(s) // 100), percent))
                 bits.append(bitmap(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["doc_id", "n", "digest", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()), pa.array(plain, pa.int64()), pa.array(least, pa.int64())], ["doc_id", "n", "digest", "prefix", "bits", "plain", "least"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, prefix array<long>, bits binary")
+    return docs.mapInArrow(released(run), "doc_id long, n long, digest binary, prefix array<long>, bits binary, plain long, least long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -97,70 +110,91 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def tiles(reps: DataFrame, percent: int) -> DataFrame:
-    """``tile, members``: sets that share one of their smallest hashes, in one chain of sizes; distinct, two members at least."""
+    """``plain, tile, members, times``: sets that share one of their smallest hashes, in one chain of sizes, two members at least, and how many hashes give this tile; with ``plain``, of plain prefixes alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "token"):
-            token, n, rep = (table.column(c).to_numpy() for c in ("token", "n", "rep"))
-            apart = (token[1:] != token[:-1]) | (100 * n[:-1] < percent * n[1:])
-            begin = np.flatnonzero(np.concatenate([[True], apart]))
-            size = np.diff(np.append(begin, len(rep)))
-            many = size > 1
-            if not many.any():
-                continue
-            name = np.add.reduceat(mix(rep.astype(np.uint64) + U(0x51ED270B)), begin)[many]
-            begin, size = begin[many], size[many]
-            _, once = np.unique(name, return_index=True)
-            name, begin, size = mix(name[once] + size[once].astype(np.uint64)), begin[once], size[once]
-            total = int(size.sum())
-            at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(total)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(rep[at]))], ["tile", "members"])
-
-    tokens = reps.select(F.explode("prefix").alias("token"), "n", "rep")
+            token, n, rep, plain = (table.column(c).to_numpy() for c in ("token", "n", "rep", "plain"))
+            for kind in (False, True):
+                if kind:
+                    token, n, rep = token[plain], n[plain], rep[plain]
+                if not len(rep):
+                    continue
+                apart = (token[1:] != token[:-1]) | (100 * n[:-1] < percent * n[1:])
+                begin = np.flatnonzero(np.concatenate([[True], apart]))
+                size = np.diff(np.append(begin, len(rep)))
+                many = size > 1
+                if not many.any():
+                    continue
+                name = np.add.reduceat(mix(rep.astype(np.uint64) + U(0x51ED270B)), begin)[many]
+                begin, size = begin[many], size[many]
+                _, once, times = np.unique(name, return_index=True, return_counts=True)
+                name, begin, size = mix(name[once] + size[once].astype(np.uint64)), begin[once], size[once]
+                total = int(size.sum())
+                at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(total)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(name)), pa.array(name.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(rep[at])), pa.array(times)], ["plain", "tile", "members", "times"])
+
+    tokens = reps.select(F.posexplode("prefix").alias("at", "token"), "n", "rep", "plain").select("token", F.col("n").cast("int").alias("n"), "rep", (F.col("at") < F.col("plain")).alias("plain"))
     dealt = tokens.repartition("token").sortWithinPartitions("token", "n")
-    return dealt.mapInArrow(run, "tile long, members array<long>").groupBy("tile").agg(F.any_value("members").alias("members"))
-
-
-def forest(rep: np.ndarray, n: np.ndarray, bits: list[bytes], bad: list, percent: int) -> Iterator[tuple[int, int]]:
-    """Edges of a spanning forest of all pairs in a tile that pass the size and bit count bounds; ``n`` rises."""
-    width = np.array([len(b) for b in bits])
-    blocks = {int(w): (np.flatnonzero(width == w)) for w in np.unique(width)}
-    data = {w: np.frombuffer(b"".join([bits[i] for i in at]), np.uint64).reshape(len(at), -1) for w, at in blocks.items()}
-    place = {int(rep[i]): i for i in range(len(rep))} if any(b is not None and len(b) for b in bad) else {}
-    free = np.ones(len(rep), bool)
+    return dealt.mapInArrow(released(run), "plain boolean, tile long, members array<long>, times long").groupBy("plain", "tile").agg(F.any_value("members").alias("members"), F.sum("times").alias("times"))
+
+
+class Tile:
+    """The bitmaps of a tile, with rising sizes ``n``."""
+
+    def __init__(self, n: np.ndarray, bits: list[bytes], percent: int):
+        self.n, self.percent = n, percent
+        width = np.array([len(b) for b in bits])
+        self.bits = bits
+        self.blocks = {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
+        self.data = {w: np.frombuffer(b"".join([bits[i] for i in at]), np.uint64).reshape(len(at), -1) for w, at in self.blocks.items()}
+
+    def near(self, i: int, wanted: np.ndarray) -> list[int]:
+        """Those of ``wanted`` (flags) that pass the size and bit count bounds with i."""
+        n, percent, out = self.n, self.percent, []
+        lo, hi = np.searchsorted(n, -(-percent * n[i] // 100)), np.searchsorted(n, 100 * n[i] // percent, "right")
+        own = np.frombuffer(self.bits[i], np.uint64)
+        for w, at in self.blocks.items():
+            a, b = np.searchsorted(at, [lo, hi])
+            other = at[a:b]
+            pick = np.flatnonzero(wanted[other])
+            if not len(pick):
+                continue
+            other, words, mine = other[pick], self.data[w][a:b][pick], own
+            while len(mine) > words.shape[1]:  # the last bit of a place falls away: neighbours fold
+                mine = _fold(mine[None, :])[0]
+            while words.shape[1] > len(mine):
+                words = _fold(words)
+            differ = np.bitwise_count(words ^ mine).sum(axis=1, dtype=np.int64)
+            both = n[i] + n[other]
+            out += other[(100 + percent) * ((both - differ) // 2) >= percent * both].tolist()
+        return out
+
+
+def forest(rep: np.ndarray, n: np.ndarray, bits: list[bytes], percent: int) -> Iterator[tuple[int, int]]:
+    """Edges of a spanning forest of all pairs in a tile that pass the bounds."""
+    tile, free = Tile(n, bits, percent), np.ones(len(rep), bool)
     for first in range(len(rep)):
         if not free[first]:
             continue
         free[first] = False
         queue = deque([first])
-        while queue:
+        while queue and free.any():
             i = queue.popleft()
-            if not free.any():
-                return
-            own = np.frombuffer(bits[i], np.uint64)
-            lo, hi = np.searchsorted(n, -(-percent * n[i] // 100)), np.searchsorted(n, 100 * n[i] // percent, "right")
-            for w, at in blocks.items():
-                a, b = np.searchsorted(at, [lo, hi])
-                other = at[a:b]
-                pick = np.flatnonzero(free[other])
-                if not len(pick):
-                    continue
-                other, words = other[pick], data[w][a:b][pick]
-                mine = own
-                while len(mine) > words.shape[1]:  # the top bit of a place falls away: neighbours fold
-                    mine = _fold(mine[None, :])[0]
-                while words.shape[1] > len(mine):
-                    words = _fold(words)
-                differ = np.bitwise_count(words ^ mine).sum(axis=1, dtype=np.int64)
-                both = n[i] + n[other]
-                ok = (100 + percent) * ((both - differ) // 2) >= percent * both
-                if bad[i] is not None and len(bad[i]):
-                    ok &= ~np.isin(other, [place[x] for x in bad[i] if x in place])
-                for j in other[ok].tolist():
-                    free[j] = False
-                    queue.append(j)
-                    yield int(rep[i]), int(rep[j])
+            for j in tile.near(i, free):
+                free[j] = False
+                queue.append(j)
+                yield int(rep[i]), int(rep[j])
+
+
+def crossing(rep: np.ndarray, n: np.ndarray, bits: list[bytes], group: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """All pairs of a tile that pass the bounds and are of different groups."""
+    tile, later = Tile(n, bits, percent), np.ones(len(rep), bool)
+    for i in range(len(rep)):
+        later[i] = False
+        for j in tile.near(i, later & (group != group[i])):
+            yield int(rep[i]), int(rep[j])
 
 
 def _fold(words: np.ndarray) -> np.ndarray:
@@ -170,7 +204,8 @@ def _fold(words: np.ndarray) -> np.ndarray:
 
 
 def edges(members: DataFrame, percent: int) -> DataFrame:
-    """``tile, a, b`` for rows (tile, rep, n, bits, bad)."""
+    """``tile, a, b`` for rows (tile, rep, n, bits): a forest, or with a column ``root`` all pairs of different roots."""
+    grouped = "root" in members.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "tile"):
@@ -178,12 +213,15 @@ def edges(members: DataFrame, percent: int) -> DataFrame:
             begin = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
             out = []
             for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(tile)], strict=True):
-                part = table.slice(lo, hi - lo)
-                out += [(int(tile[lo]), a, b) for a, b in forest(rep[lo:hi], n[lo:hi], part.column("bits").to_pylist(), part.column("bad").to_pylist(), percent)]
+                if hi - lo > 1:
+                    part = table.slice(lo, hi - lo)
+                    bits = part.column("bits").to_pylist()
+                    found = crossing(rep[lo:hi], n[lo:hi], bits, part.column("root").to_numpy(), percent) if grouped else forest(rep[lo:hi], n[lo:hi], bits, percent)
+                    out += [(int(tile[lo]), a, b) for a, b in found]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["tile", "a", "b"])
 
-    return members.repartition("tile").sortWithinPartitions("tile", "n", "rep").mapInArrow(run, "tile long, a long, b long")
+    return members.repartition("tile").sortWithinPartitions("tile", "n", "rep").mapInArrow(released(run), "tile long, a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -202,46 +240,57 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(arrays, "doc_id long, grams binary")
+    needed = store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
+    own = among(docs, needed).join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(released(arrays), "doc_id long, grams binary")
     own = store(own, "grams")
     x, y = own.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), own.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
     return bounded(pairs.join(x, "a").join(y, "b")).mapInArrow(intersect, "a long, b long, ok boolean")
 
 
+def among(docs: DataFrame, needed: DataFrame, bits: int = 1 << 21) -> DataFrame:
+    """Rows of ``docs`` but for most of those whose doc_id isn't in ``needed``, so that few texts are shuffled for the join that decides.
+
+    What is sent to the executors is a hash bitmap of ``bits`` bits, 256 KB, whatever the number of ids."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = needed.select(place("doc_id").alias("p")).groupBy(F.floor(F.col("p") / 8).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1, cast(p % 8 as int))")).alias("b"))
+    data = bytearray(bits // 8)
+    # As many bytes as the bitmap has, in pages.
+    for r in words.groupBy(F.floor(F.col("w") / 4096).alias("page")).agg(F.collect_list(F.struct("w", "b")).alias("own")).collect():
+        for w, b in r.own:
+            data[w] = b
+    # One row of a join, not a literal: plans with long literals are long to print and keep.
+    row = docs.sparkSession.createDataFrame([(data,)], "bitmap binary")
+    byte = F.conv(F.hex(F.substring("bitmap", (place("doc_id") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return docs.join(F.broadcast(row), byte.bitwiseAND(F.pow(F.lit(2), place("doc_id") % 8).cast("int")) != 0, "left_semi")
+
+
 def links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Verified edges (a, b) that connect the same representatives as all links between them."""
     own = store(tiles(reps, percent), "tiles")
     drop_shuffles(docs.sparkSession)
-    sized = reps.select("rep", "n", "bits")
-    bad, passed = None, None
-    while True:
-        members = own.select("tile", F.explode("members").alias("rep")).join(sized, "rep")
-        members = members.join(bad, ["tile", "rep"], "left") if bad is not None else members.withColumn("bad", F.lit(None).cast("array<long>"))
-        found = store(edges(members, percent), "edges")
-        pairs = found.select("a", "b").distinct()
-        if passed is not None:
-            pairs = pairs.join(passed, ["a", "b"], "left_anti")
-        checked = store(verified(pairs, docs, k, percent), "checked")
-        drop_shuffles(docs.sparkSession)
-        good = checked.filter("ok").select("a", "b")
-        passed = good if passed is None else passed.unionAll(good)
-        failed = found.join(checked.filter("not ok").select("a", "b"), ["a", "b"])
-        if failed.isEmpty():
-            return passed
-        # Each failed pair is noted at both ends, with what failed before, in the tiles it was found in.
-        ends = failed.select("tile", F.col("a").alias("rep"), F.col("b").alias("other")).unionAll(failed.select("tile", F.col("b").alias("rep"), F.col("a").alias("other")))
-        if bad is not None:
-            ends = ends.unionAll(bad.select("tile", "rep", F.explode("bad").alias("other")))
-        bad = store(ends.groupBy("tile", "rep").agg(F.collect_set("other").alias("bad")), "bad")
-        own = store(own.join(failed.select("tile").distinct(), "tile", "left_semi"), "tiles")
+    stands = own.filter("not plain").select(F.explode("members").alias("rep"), "times").groupBy("rep").agg(F.sum("times").alias("stands"))
+    sized = reps.join(stands, "rep").filter("stands >= least").select("rep", "n", "bits")
+    members = own.filter("plain").select("tile", F.explode("members").alias("rep")).join(sized, "rep")
+    found = store(edges(members, percent), "edges")
+    checked = store(verified(found.select("a", "b").distinct(), docs, k, percent), "checked")
+    drop_shuffles(docs.sparkSession)
+    passed, failed = checked.filter("ok").select("a", "b"), checked.filter("not ok").select("a", "b")
+    open_tiles = found.join(failed, ["a", "b"]).select("tile").distinct()
+    if open_tiles.isEmpty():
+        return passed
+    roots = components(passed).withColumnRenamed("node", "rep")
+    again = members.join(open_tiles, "tile", "left_semi").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    pairs = edges(again, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    seen = failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = store(verified(pairs.join(seen, ["a", "b"], "left_anti"), docs, k, percent), "checked")
+    return passed.unionAll(more.filter("ok").select("a", "b"))
 
 
 def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``; two texts link from ``percent`` % Jaccard similarity."""
     docs = ids_and_text(docs)
     own = store(sets(docs, k, percent), "sets")
-    reps = own.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("bits").alias("bits"))
+    reps = own.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("bits").alias("bits"), F.any_value("plain").alias("plain"), F.any_value("least").alias("least"))
     reps = store(reps, "reps")
     named = reps.filter("rep is not null")
     roots = components(links(named, docs.filter("doc_id is not null"), k, percent).unionAll(_repeated(own, reps)))
