@@ -29,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_shuffles, ids_and_text, read, store
+from .common import drop_shuffles, ids_and_text, read, released, store
 from .ngram_join import _groups
 from .scan import EXACT_TABLE, Chunk, U, mix, per_chunk
 
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM
 #: Anchors that a task gathers before it looks for equal ones among them, and bytes of segments sorted at once.
-GATHER, TILE_BYTES = 3_000_000, 1 << 20
+GATHER, TILE_BYTES = 1_000_000, 1 << 20
+CHUNK_BYTES = 1 << 20
 SHAPE = 16
 
 
@@ -168,6 +169,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         h, s, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        if not len(h):
+            return
         both = h ^ mix(s)
         order = np.lexsort((doc, both))
         both, h, s, doc, place = both[order], h[order], s[order], doc[order], place[order]
@@ -179,7 +182,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(s[part].view(np.int64)), pa.array(doc[part]), pa.array(place[part])], ["h", "s", "doc_id", "place"])
         yield from _spans(doc[~keep], place[~keep])
 
-    for rows, chunk in per_chunk(batches):
+    for rows, chunk in per_chunk(batches, CHUNK_BYTES):
         ids = rows.column(0)
         valid = np.asarray(ids.is_valid())
         ids = ids.fill_null(0).to_numpy()
@@ -244,9 +247,9 @@ def _split_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch |
 
 def removed_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, lo, hi``: byte spans to remove; they may overlap."""
-    keyed = docs.filter("doc_id is not null").mapInArrow(_candidates, MARKS)
+    keyed = docs.filter("doc_id is not null").mapInArrow(released(_candidates), MARKS)
     # Spans go along under a key of their own document, so that they are spread, and sort before anchors as nulls.
-    met = keyed.repartition(F.coalesce("h", F.xxhash64("doc_id", "s"))).sortWithinPartitions("h").mapInArrow(_meet, MARKS)
+    met = keyed.repartition(F.coalesce("h", F.xxhash64("doc_id", "s"))).sortWithinPartitions("h").mapInArrow(released(_meet), MARKS)
     met = store(met, "anchors")
     drop_shuffles(docs.sparkSession)
     done = met.filter("h is null").select("doc_id", F.col("s").alias("lo"), F.col("place").alias("hi"))
@@ -279,9 +282,9 @@ def removed_spans(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(b)], ["doc_id", "lo", "hi"])
                 begin = end
 
-    segments = docs.filter("doc_id is not null").join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(fetch, "h long, doc_id long, lo long, segment binary")
+    segments = docs.filter("doc_id is not null").join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(released(fetch), "h long, doc_id long, lo long, segment binary")
     # Rows of a repeated doc_id may not hold a place at all; such segments are shorter and match nothing.
-    more = segments.repartition("h").sortWithinPartitions("h").mapInArrow(compare, "doc_id long, lo long, hi long")
+    more = segments.repartition("h").sortWithinPartitions("h").mapInArrow(released(compare), "doc_id long, lo long, hi long")
     more = store(more, "spans")
     drop_shuffles(docs.sparkSession)
     return done.unionAll(more)
@@ -313,7 +316,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary()), pa.array(cols[4])], names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
-    return docs.join(spans, "doc_id", "left").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return docs.join(spans, "doc_id", "left").mapInArrow(released(cut), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
