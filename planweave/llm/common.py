@@ -2,33 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from planweave.storage import shared_dir, store  # noqa: F401  for the operators
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: spark.checkpoint.dir, or in local sessions a folder set here."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file:///tmp/planweave-checkpoint"
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder
-
-
-def store(df: DataFrame, name: str = "part") -> DataFrame:
-    """Write and reread: cuts the lineage, survives lost executors, and computes the rows once."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def drop_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of plans that are no longer referred to.
 

@@ -23,4 +23,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat_formatting": import_module(f"{__package__}.chat").SQL}
+    chat, sql = (import_module(f"{__package__}.{name}") for name in ("chat", "sql"))
+    return {"op2_ngram_jaccard_join": sql.NGRAM_JOIN, "op6_suffix_array_dedup": sql.REPEATS, "op8_license_scans": sql.LICENSES, "op10_chat_formatting": chat.SQL}
