@@ -15,6 +15,7 @@ from planweave.functions import geom as G
 from planweave.operators import floors, sinks
 from planweave.operators import relational as R
 from planweave.sources import svg
+from planweave.storage import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,6 +54,7 @@ def svg_documents_of(prims: DataFrame, box: str = "0 0 140 140") -> DataFrame:
     d = F.format_string("M %.1f,%.1f L %.1f,%.1f", "x1", "y1", "x2", "y2")
     element = F.concat(F.lit("<path"), attr("primitiveId", F.col("primitive_id")), attr("semanticId", F.col("semantic_id")), attr("instanceId", F.col("instance_id")), F.lit(' originalType="segment" d="'), d, F.lit('"/>'))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("primitive_id", element.alias("e")))), lambda s: s["e"]), "")
+    prims = spread(prims, "floor_id")
     return prims.groupBy("floor_id").agg(F.concat(F.lit(f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="{box}">'), body, F.lit("</svg>")).alias("content"))
 
 

@@ -22,3 +22,10 @@ def store(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt out by keys over spark.sql.shuffle.partitions tasks, a number that adaptive execution keeps.
+
+    Kernels are costly for few bytes, and partitions that are merged by their bytes would leave cores idle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -13,12 +13,13 @@ def wall(pid, x1, y1, x2, y2):
 
 
 def test_two_rooms_from_files(spark, tmp_path):
-    body = "".join(wall(i, *s) for i, s in enumerate([(20, 20, 120, 20), (120, 20, 120, 80), (120, 80, 20, 80), (20, 80, 20, 20), (70, 20, 70, 80)]))
+    box = lambda a, b, c, d: [(a, b, c, b), (c, b, c, d), (c, d, a, d), (a, d, a, b)]
+    body = "".join(wall(i, *s) for i, s in enumerate([*box(20, 20, 120, 80), *box(22, 22, 69, 78), *box(71, 22, 118, 78), (69, 22, 71, 22), (69, 78, 71, 78)]))
     body += path("M 30,30 L 40,40", pid=90, more='semanticId="27" instanceId="4"')
     (tmp_path / "A_3KAT_x.svg").write_text(HEAD.format("0 0 140 140", body))
     plan, feats = pipeline.run_files(spark, [str(tmp_path / "*.svg")])
     rooms = {r.facil_type: r.area for r in plan.regions.filter("role = 'room'").collect()}
-    assert rooms["WC"] == 3000 and rooms["Office"] == 3000
+    assert rooms["WC"] == 47 * 56 and "Office" in rooms and "wall" in {r.role for r in plan.regions.collect()}
     sinks.write_geojson(feats, str(tmp_path / "out" / "plan.geojson"), "plan")
     doc = json.loads((tmp_path / "out" / "plan.geojson").read_text())
     kinds = [f["properties"]["facilType"] for f in doc["features"]]
