@@ -58,10 +58,13 @@ def elements(documents: DataFrame) -> DataFrame:
 
 def view_box(text):
     """Four doubles; raises unless the text has exactly four numbers between white space."""
-    parts = F.split(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")), " ")
-    ok = F.size(parts) == 4
-    get = lambda i: F.when(ok, F.get(parts, F.lit(i)).cast("double")).otherwise(F.raise_error(F.concat(F.lit("bad viewBox: "), F.coalesce(text, F.lit("missing")))).cast("double"))
-    return F.struct(*(get(i).alias(n) for i, n in enumerate(("x", "y", "w", "h"))))
+    names = ("x", "y", "w", "h")
+
+    def numbers(parts):
+        bad = F.raise_error(F.concat(F.lit("bad viewBox: "), F.array_join(parts, " "))).cast("double")
+        return F.struct(*(F.when(F.size(parts) == 4, F.get(parts, F.lit(i)).cast("double")).otherwise(bad).alias(n) for i, n in enumerate(names)))
+
+    return G.let(F.split(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")), " "), numbers)
 
 
 def geometry(resolution: int = 20):
