@@ -22,6 +22,7 @@ an empty table gives none; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,14 +31,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ids_and_text, read
+from .common import ids_and_text, read, released
 from .scan import Chunk, U, chunks, mix
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES, SEED = 2, 11
 #: Weight of the piece of rank r: (r + FLAT) ** -POWER.
 POWER, FLAT = 0.6, 50
-CHUNK_BYTES = 6 << 20
+#: Bytes of text whose lattices are solved at once: more share more units, a worker needs about 90 MB for each MB.
+CHUNK_BYTES = 4 << 20
+_WORD = (1 << 64) - 1
 
 
 class Pieces:
@@ -101,9 +104,10 @@ class Lattice:
         node, to, piece = [], [], []
         has_single = np.zeros(n, bool)
         nxt = np.append(at_head[1:], n)
+        open_ = at_head
         for length in model.lengths:
-            at = at_head[at_head + length <= end[at_head]]
-            at = at[stop[at + length]]
+            open_ = open_[open_ + length <= end[open_]]
+            at = open_[stop[open_ + length]]
             hit, ids = model.find(chunk.hashes(at, at + length))
             at = at[hit]
             node.append(at)
@@ -114,9 +118,10 @@ class Lattice:
         node.append(bare)
         to.append(bare + 1)
         piece.append(model.byte_id[buf[bare]])
-        node, to, piece = np.concatenate(node), np.concatenate(to), np.concatenate(piece)
+        node, to, piece = (np.concatenate([x.astype(np.int32) for x in part]) for part in (node, to, piece))
+        end = end.astype(np.int32)
         left = end[node] - node
-        order = np.argsort(left * n + node)
+        order = np.argsort((left.astype(np.int64) * n + node) << 6 | (to - node))  # every key once, so that sums don't depend on the chunk
         node, to, piece, left = node[order], to[order], piece[order], left[order]
         logw = model.weight[piece]
         beta = np.zeros(n + 1)
@@ -131,17 +136,19 @@ class Lattice:
             value = np.exp(value - np.repeat(top, np.diff(np.append(first, hi - lo))))
             total[node[lo:hi][first]] = beta[node[lo:hi][first]] = top + np.log(np.add.reduceat(value, first))
         logp = np.minimum(logw + np.where(done, 0.0, beta[to]) - total[node], 0.0)
-        order = np.argsort(node - 0.5 * np.exp(logp))  # by node, and likely edges first
+        p = (np.exp(logp) * 2.0**32).astype(np.int64)
+        # By node, and likely edges first.
+        order = np.argsort((node.astype(np.int64) << 27 | ((1 << 32) - p) >> 12) << 6 | (to - node))
         self.node, self.piece, self.logp = node[order], piece[order], logp[order]
         self.to = np.where(done, -1, to)[order]
         first = np.flatnonzero(np.concatenate([[True], self.node[1:] != self.node[:-1]])) if len(node) else np.zeros(0, np.int64)
         count = np.diff(np.append(first, len(node)))
-        p = np.exp(self.logp)
+        # Cumulative probabilities within a node in whole units of 2**-32, exact whatever stands before it.
+        p = p[order]
         run = np.cumsum(p)
         run -= np.repeat(run[first] - p[first], count)
-        run /= np.repeat(run[first + count - 1], count) if len(first) else 1
-        run[first + count - 1] = 1.0
-        self.upto = self.node + run
+        run[first + count - 1] = 1 << 32
+        self.upto = run
         self.starts = offs[:-1]
         lone = np.zeros(len(self.node), bool)
         lone[first] = count == 1
@@ -157,13 +164,16 @@ class Lattice:
         logp, counts = np.zeros(len(unit)), np.zeros(len(unit), np.int64)
         step = 0
         while len(active):
-            u = (mix(key[active] + U(step * 0x9E3779B97F4A7C15 % (1 << 64))) >> U(11)) * 2.0**-53
-            x = v + u
+            x = (key[active] ^ U(step * 0x9E3779B97F4A7C15 % (1 << 64))) * U(0xD6E8FEB86659FD93)
+            x ^= x >> U(32)
+            x *= U(0xC2B2AE3D27D4EB4F)
+            x >>= U(32)
+            x = x.view(np.int64)
             e = self.first[v]
-            behind = np.flatnonzero(self.upto[e] < x)
+            behind = np.flatnonzero(self.upto[e] <= x)
             while len(behind):
                 e[behind] += 1
-                behind = behind[self.upto[e[behind]] < x[behind]]
+                behind = behind[self.upto[e[behind]] <= x[behind]]
             logp[active] += self.logp[e]
             counts[active] += 1
             rounds.append((active, self.piece[e]))
@@ -181,27 +191,21 @@ class Lattice:
         v, path, logp = int(self.starts[unit]), (), 0.0
         while v >= 0:
             lo = int(self.first[v])
-            edges = range(lo, lo + int(self.count[v]))
-            masses = []
-            for e in edges:
-                ahead = (*path, int(self.piece[e]))
-                inside = [t for t in taken if t[: len(ahead)] == ahead]
-                m = float(np.exp(self.logp[e])) - sum(self._rest(v, t[len(path) :]) for t in inside)
-                if inside and (self.to[e] < 0 or self._only(int(self.to[e]), [t[len(ahead) :] for t in inside])):
-                    m = 0.0
-                masses.append(max(m, 0.0))
-            whole = sum(masses)
-            if whole <= 0:  # what is left is below the precision of floats: any edge that isn't exhausted
-                masses = [0.0 if any(t[: len(path) + 1] == (*path, int(self.piece[e])) and (self.to[e] < 0 or self._only(int(self.to[e]), [t[len(path) + 1 :] for t in taken if t[: len(path) + 1] == (*path, int(self.piece[e]))])) for t in taken) else 1.0 for e in edges]
-                whole = sum(masses)
-            u, at = draw() * whole, 0
+            hi = lo + int(self.count[v])
+            piece, to, edge = self.piece[lo:hi].tolist(), self.to[lo:hi].tolist(), self.logp[lo:hi].tolist()
+            ahead = [[t for t in taken if t[: len(path) + 1] == (*path, x)] for x in piece]
+            spent = [bool(own) and (w < 0 or self._only(w, [t[len(path) + 1 :] for t in own])) for own, w in zip(ahead, to, strict=True)]
+            masses = [0.0 if gone else max(math.exp(e) - sum(self._rest(v, t[len(path) :]) for t in own), 0.0) for own, gone, e in zip(ahead, spent, edge, strict=True)]
+            if sum(masses) <= 0:  # what is left is below the precision of floats: any edge that isn't exhausted
+                masses = [0.0 if gone else 1.0 for gone in spent]
+            u, at = draw() * sum(masses), 0
             while at < len(masses) - 1 and (u >= masses[at] or masses[at] == 0.0):
                 u -= masses[at]
                 at += 1
             while masses[at] == 0.0:
                 at -= 1
-            e = lo + at
-            path, logp, v = (*path, int(self.piece[e])), logp + float(self.logp[e]), int(self.to[e])
+            path, logp, v = (*path, piece[at]), logp + edge[at], to[at]
+            taken = [t for t in taken if t[: len(path)] == path]
         return path, logp
 
     def _rest(self, v: int, tail: tuple[int, ...]) -> float:
@@ -209,9 +213,9 @@ class Lattice:
         logp = 0.0
         for x in tail:
             lo = int(self.first[v])
-            e = lo + int(np.flatnonzero(self.piece[lo : lo + int(self.count[v])] == x)[0])
+            e = lo + self.piece[lo : lo + int(self.count[v])].tolist().index(x)
             logp, v = logp + float(self.logp[e]), int(self.to[e])
-        return float(np.exp(logp))
+        return math.exp(logp)
 
     def _only(self, v: int, tails: list[tuple[int, ...]]) -> bool:
         """Whether ``tails`` are all the ways from node v to the end."""
@@ -228,6 +232,21 @@ def _log1mexp(x: np.ndarray) -> np.ndarray:
         return np.where(x > -0.69, np.log(-np.expm1(x)), np.log1p(-np.exp(x)))
 
 
+def _draws(row: int):
+    """A function that gives the row's next uniform number, in (0, 1)."""
+    state = row
+
+    def draw() -> float:
+        nonlocal state
+        state = (state + 0x9E3779B97F4A7C15) & _WORD
+        x = state ^ state >> 32
+        x = x * 0xD6E8FEB86659FD93 & _WORD
+        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _WORD
+        return ((x ^ x >> 32) >> 11) * 2.0**-53 + 2.0**-54
+
+    return draw
+
+
 def units_of(model: Pieces, texts: list[bytes]) -> tuple[Chunk, np.ndarray, np.ndarray]:
     """All units of texts, each text with a space before it: bytes, unit starts, and the first unit of each text.
 
@@ -256,33 +275,33 @@ def segment(model: Pieces, keys: np.ndarray, texts: list[bytes], k: int = SAMPLE
     number = np.arange(len(starts)) - first[doc]
     row = mix(keys.astype(np.uint64) + U(seed * 0xC2B2AE3D27D4EB4F % (1 << 64)))
     passes = [lattice.sample(unit, mix(row[doc] + number.astype(np.uint64) * U(0xD6E8FEB86659FD93) + U(p + 1))) for p in range(k)]
-    noise = [(mix(row[doc] ^ mix(number.astype(np.uint64) + U((p + 1) << 40))) >> U(11)) * 2.0**-53 + 2.0**-54 for p in range(k)]
+    leaves = [_log1mexp(p[2]) for p in passes]
+    noise = [-np.log(-np.log((mix(row[doc] ^ mix(number.astype(np.uint64) + U((p + 1) << 40))) >> U(11)) * 2.0**-53 + 2.0**-54)) for p in range(k)]
     for i in range(len(texts)):
         lo, hi = int(first[i]), int(first[i + 1])
-        draws = iter(range(1 << 60))
-        draw = lambda row=row[i], draws=draws: float(mix(np.array([row + U(next(draws) + (1 << 50))], np.uint64))[0] >> U(11)) * 2.0**-53 + 2.0**-54
+        draw = _draws(int(row[i]))
         if lo == hi:
-            yield [(np.zeros(0, np.int32), 0.0, -float(np.log(-np.log(draw()))), 1.0)]
+            yield [(np.zeros(0, np.int32), 0.0, -math.log(-math.log(draw())), 1.0)]
             continue
         units = unit[lo:hi]
         samples, heap = [], []
 
         def add(ids, begin, logp, value, since, taken, p, lo=lo, hi=hi, samples=samples, heap=heap):
             """A new sample, and the values of the sets that part from it at units from ``since`` on."""
-            before = np.concatenate([[0.0], np.cumsum(logp)])
-            away = _log1mexp(logp)
+            upto = logp.cumsum()
+            away = leaves[p][lo:hi].copy()
             if taken is not None:
                 away[since] = taken[1]
-            mass = before[:-1] + away
-            x = mass - np.log(-np.log(noise[p][lo:hi]))
-            with np.errstate(invalid="ignore"):
-                v = np.where(mass == -np.inf, -np.inf, -np.logaddexp(-value, -x))
+            x = upto - logp
+            x += away
+            x += noise[p][lo:hi]
+            v = -np.logaddexp(-value, -x)  # -inf where nothing else is left
             v[:since] = -np.inf
-            samples.append((ids, begin, logp, float(before[-1]), value, taken, since))
+            samples.append((ids, begin, logp, float(upto[-1]), value, taken, since))
             heap.append(v)
 
         flat, begin, logp = passes[0]
-        add(flat[begin[lo] : begin[hi]], begin[lo : hi + 1] - begin[lo], logp[lo:hi], -float(np.log(-np.log(draw()))), 0, None, 0)
+        add(flat[begin[lo] : begin[hi]], begin[lo : hi + 1] - begin[lo], logp[lo:hi], -math.log(-math.log(draw())), 0, None, 0)
         kappa = -np.inf
         while True:
             best = max(range(len(heap)), key=lambda s: heap[s].max())
@@ -308,7 +327,7 @@ def segment(model: Pieces, keys: np.ndarray, texts: list[bytes], k: int = SAMPLE
         yield [(s[0], s[3], s[4], float(-np.expm1(-np.exp(min(s[3] - kappa, 700.0)))) if kappa > -np.inf else 1.0) for s in samples]
 
 
-def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None = None, digests: bool = False) -> DataFrame:
+def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None = None, digests: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, sample (from 0), n_pieces, log_prob, perturbed, inclusion and ids; with ``digests``, ids_crc32 and whether decoding gives the text instead of ids."""
     import public_tokenizers
 
@@ -316,9 +335,10 @@ def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        raw = model.raw.__getitem__
+        raw = np.empty(max(model.raw) + 1, object)
+        raw[list(model.raw)] = list(model.raw.values())
         for batch in batches:
-            for chunk in chunks(batch.column("text"), CHUNK_BYTES):
+            for chunk in chunks(batch.column("text"), chunk_bytes):
                 rows = batch.slice(chunk.rows.start, chunk.n)
                 ids = rows.column(0)
                 keys = mix(ids.fill_null(0).to_numpy().astype(np.uint64)) ^ np.asarray(ids.is_null()).astype(np.uint64)
@@ -327,7 +347,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None
                 for doc_id, text, samples in zip(ids.to_pylist(), texts, segment(model, keys, texts, k, seed), strict=True):
                     for s, (x, logp, value, inclusion) in enumerate(samples):
                         head = (doc_id, s, len(x), logp, value, inclusion)
-                        out.append((*head, zlib.crc32(x.astype("<u4").tobytes()), b"".join(map(raw, x.tolist()))[1:] == text) if digests else (*head, x))
+                        out.append((*head, zlib.crc32(x.astype("<u4").tobytes()), b"".join(raw[x].tolist())[1:] == text) if digests else (*head, x))
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
@@ -335,7 +355,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None
     kinds = [*ints, *reals, *([pa.int64(), pa.bool_()] if digests else [pa.list_(pa.int32())])]
     names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", *(["ids_crc32", "decoded"] if digests else ["ids"])]
     ddl = "doc_id long, sample long, n_pieces long, log_prob double, perturbed double, inclusion double, " + ("ids_crc32 long, decoded boolean" if digests else "ids array<int>")
-    return ids_and_text(docs).mapInArrow(run, ddl)
+    return ids_and_text(docs).mapInArrow(released(run), ddl)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
