@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, ids_and_text, read
+from .common import bounded, ids_and_text, read, released
 from .scan import ALNUM_WORD, LOWER_TABLE, Chunk, U, chunks, per_chunk, starts_of_windows, windows
 
 WINDOW, LEAST_LITERALS, LEAST_TOKENS = 8, 4, 4
@@ -219,7 +219,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["doc_id", "item_id", "n_tokens", "coverage", "kind"])
 
-        return docs.mapInArrow(run, "doc_id long, item_id long, n_tokens long, coverage double, kind string")
+        return docs.mapInArrow(released(run), "doc_id long, item_id long, n_tokens long, coverage double, kind string")
 
     return reduce(DataFrame.unionAll, [against(*x) for x in blocks if x[0]] or [docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("coverage"), F.lit("").alias("kind")).filter("false")])
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_text, read
+from .common import bounded, ids_and_text, read, released
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -161,7 +161,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["doc_id", "secrets"])
 
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("path", pa.string())]))
-    return ids_and_text(docs).mapInArrow(run, "doc_id long, secrets array<struct<start:long,end:long,kind:string,path:string>>")
+    return ids_and_text(docs).mapInArrow(released(run), "doc_id long, secrets array<struct<start:long,end:long,kind:string,path:string>>")
 
 
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
@@ -187,9 +187,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names)
 
     at, names = fields.index("text"), fields
-    from .common import bounded
-
-    out = bounded(docs).mapInArrow(run, docs.schema)
+    out = bounded(docs).mapInArrow(released(run), docs.schema)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))) if "n_chars" in fields else out
 
 
