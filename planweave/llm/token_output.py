@@ -43,7 +43,7 @@ LEVEL, SEGMENT_DOCS, SEGMENT_BYTES = 3, 512, 4 << 20
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 1_200_000
 #: Marks that the tokenizer parts from the letters before them.
-MARKS = ".,;:!?)%$&#*"
+MARKS = b".,;:!?)%$&#*"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -81,15 +81,16 @@ class Encoder:
     def _learn(self, new: set[bytes]) -> None:
         known, plain, other, pairs = self.known, set(), [], []
         for w in new:
-            s = w.decode()
-            core = s.rstrip(MARKS)
-            if core and unicodedata.is_normalized("NFC", core) and core.lower().isalpha():
-                if core == s:
-                    plain.add(w)
-                else:
-                    pairs.append((w, core.encode(), s[len(core) :].encode()))
+            core = w.rstrip(MARKS)
+            if not core.isalpha():  # not ASCII letters alone
+                s = core.decode()
+                if not s or not unicodedata.is_normalized("NFC", s) or not s.lower().isalpha():
+                    other.append(w)
+                    continue
+            if core == w:
+                plain.add(w)
             else:
-                other.append(w)
+                pairs.append((w, core, w[len(core) :]))
         for _, core, marks in pairs:
             if core not in known:
                 plain.add(core)
