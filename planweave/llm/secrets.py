@@ -1,10 +1,10 @@
 """Secret scans with recursive decoding (operator 9).
 
 Each text is a first layer. A layer is scanned for the three base kinds, and for regions that hold an encoded layer:
-URL escapes, Unicode escapes, base64 and, inside base64, zlib, gzip or raw deflate data. Every decoded layer goes on a
-worklist with a map from its characters to the characters of the text, until no layer is new; layers already seen (by
-digest) are not opened again, so cycles end. A secret found in an inner layer is reported with the span of the text
-that it was decoded from and its path, such as ``base64/zlib``.
+URL escapes, Unicode escapes, base64 and, inside base64, zlib, gzip or raw deflate data. Every decoded layer is opened
+in turn. Equal layers (by digest) are opened once, and their secrets count at every place where the layer stands; a
+layer that stands in itself is not opened again there, so cycles end. A secret found in an inner layer is reported with
+the span of the text that it was decoded from and its path, such as ``base64/zlib``.
 
 Defined cases: a null or empty text has no secrets; repeated rows give repeated results; an empty table gives none;
 other columns are ignored. A compressed layer is opened whole, but one that would grow more than ``MAX_RATIO`` times
@@ -18,6 +18,7 @@ import binascii
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,20 +49,34 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def _escapes(text: str, pattern: re.Pattern, decode) -> tuple[str, list[tuple[int, int]]] | None:
-    """The text with its escapes decoded, and for each new character the old span."""
-    parts, spans, at = [], [], 0
+class Places:
+    """Where the characters of a decoded text stood: ``at``: starts of the decoded parts; ``old``: old start and end, and new length of each."""
+
+    def __init__(self, at: list[int], old: list[tuple[int, int, int]]):
+        self.at, self.old = at, old
+
+    def __getitem__(self, i: int) -> tuple[int, int]:
+        k = bisect_right(self.at, i) - 1
+        if k < 0:
+            return i, i + 1
+        start, end, size = self.old[k]
+        past = i - self.at[k] - size
+        return (start, end) if past < 0 else (end + past, end + past + 1)
+
+
+def _escapes(text: str, pattern: re.Pattern, decode) -> tuple[str, Places] | None:
+    """The text with its escapes decoded, and the places of its characters."""
+    parts, at, size, new_at, old = [], 0, 0, [], []
     for start, end, new in decode(text, pattern):
-        parts.append(text[at:start])
-        spans += [(i, i + 1) for i in range(at, start)]
-        parts.append(new)
-        spans += [(start, end)] * len(new)
+        parts += [text[at:start], new]
+        size += start - at
+        new_at.append(size)
+        old.append((start, end, len(new)))
+        size += len(new)
         at = end
     if not at:
         return None
-    parts.append(text[at:])
-    spans += [(i, i + 1) for i in range(at, len(text))]
-    return "".join(parts), spans
+    return "".join([*parts, text[at:]]), Places(new_at, old)
 
 
 def _url(text: str, pattern: re.Pattern):
@@ -102,7 +117,7 @@ def _text_of(raw: bytes) -> str | None:
     return text if text and sum(c.isprintable() or c in "\n\r\t" for c in text) >= 0.95 * len(text) else None
 
 
-def _layers(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]] | tuple[int, int]]]:
+def _layers(text: str) -> Iterator[tuple[str, str, Places | tuple[int, int]]]:
     """Layers that stand in this one: how, text, and the spans of their characters (or one span for all)."""
     if "%" in text and URL.search(text) and (x := _escapes(text, URL, _url)):
         yield "url", *x
@@ -125,28 +140,71 @@ def _layers(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]] | tuple
             yield how, inner, (m.start(), m.end())
 
 
+def _digest(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+
+
+class _Layer:
+    """A layer whose inner layers are being opened: what has been found in it, by its own places."""
+
+    def __init__(self, text: str, digest: bytes, depth: int):
+        self.digest, self.depth, self.layers = digest, depth, _layers(text)
+        self.found = {s: "" for s in base_spans(text)}
+        self.cut = depth  # the outermost layer that an inner one repeats
+        self.now = None
+
+    def take(self, how: str, spans: Places | tuple[int, int], inner: dict) -> None:
+        """Secrets of an inner layer at the places that it was decoded from; of two paths to one span the shorter stays."""
+        for (a, b, kind), path in inner.items():
+            key = (*spans, kind) if isinstance(spans, tuple) else (spans[a][0], spans[b - 1][1], kind)
+            name = f"{how}/{path}" if path else how
+            old = self.found.get(key)
+            if old is None or name.count("/") < old.count("/") and old:
+                self.found[key] = name
+
+
+def _secrets(text: str, known: dict[bytes, dict], path: dict[bytes, int]) -> tuple[dict, int]:
+    """{(start, end, kind): path} of a layer and all inner ones, and the outermost of ``path`` that one of them repeats.
+
+    ``known``: results by digest, so that equal layers are opened once and count at every place; ``path``: the layers
+    that this one stands in, by digest, where cycles end. A result that was cut by a cycle is not kept for other places."""
+    digest = _digest(text)
+    if digest in known:
+        return known[digest], len(path)
+    if digest in path:
+        return {}, path[digest]
+    stack = [_Layer(text, digest, len(path))]
+    path[digest] = len(path)
+    while True:
+        layer = stack[-1]
+        for how, inner, spans in layer.layers:
+            digest = _digest(inner)
+            if digest in known:
+                layer.take(how, spans, known[digest])
+            elif digest in path:
+                layer.cut = min(layer.cut, path[digest])
+            else:
+                layer.now = how, spans
+                stack.append(_Layer(inner, digest, len(path)))
+                path[digest] = len(path)
+                break
+        else:
+            stack.pop()
+            del path[layer.digest]
+            if layer.cut >= layer.depth:
+                known[layer.digest] = layer.found
+            if not stack:
+                return layer.found, layer.cut
+            stack[-1].take(*stack[-1].now, layer.found)
+            stack[-1].cut = min(stack[-1].cut, layer.cut)
+
+
 def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, str]]]:
     """Base spans, and (start, end, kind, path) of secrets in decoded layers that no base span of that kind covers."""
-    text = text or ""
-    base = sorted(base_spans(text), key=lambda s: (s[0], KINDS.index(s[2])))
-    more, seen, work = {}, {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}, [(text, None, "")]
-    while work:
-        layer, back, path = work.pop()
-        for how, inner, spans in _layers(layer):
-            digest = hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest()
-            if digest in seen:
-                continue
-            seen.add(digest)
-            if isinstance(spans, tuple):
-                spans = [spans] * len(inner)
-            to_text = spans if back is None else [(back[a][0], back[b - 1][1]) for a, b in spans]
-            name = f"{path}/{how}" if path else how
-            for a, b, kind in base_spans(inner):
-                start, end = to_text[a][0], to_text[b - 1][1]
-                if not any(k == kind and s <= start and end <= e for s, e, k in base):
-                    more.setdefault((start, end, kind), name)
-            work.append((inner, to_text, name))
-    return base, [(*k, v) for k, v in sorted(more.items())]
+    found, _ = _secrets(text or "", {}, {})
+    base = sorted((s for s, path in found.items() if not path), key=lambda s: (s[0], KINDS.index(s[2])))
+    more = [(*s, path) for s, path in found.items() if path and not any(k == s[2] and a <= s[0] and s[1] <= b for a, b, k in base)]
+    return base, sorted(more)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:

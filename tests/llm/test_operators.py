@@ -389,6 +389,17 @@ def test_secrets_in_layers(spark):
     assert secrets.scan("%2525252541")[1] == []
 
 
+def test_secrets_in_equal_layers(spark):
+    """One encoded secret at several places of a text, and in equal layers within layers."""
+    blob = base64.b64encode(b"token = abcdef123456").decode()
+    outer = base64.b64encode(f"x {blob} y {blob}".encode()).decode()
+    for what, path in ((blob, "base64"), (outer, "base64/base64")):
+        text = f"one {what} two {what}\nthree {what}"
+        places = [m.start() for m in re.finditer(re.escape(what), text)]
+        assert secrets.scan(text) == ([], [(i, i + len(what), "assign", path) for i in places])
+        assert what not in secrets.redact_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+
+
 def test_secrets_cases(spark):
     assert secrets.scan_secrets(frame(spark)).count() == len(awkward()) and secrets.scan_secrets(empty(spark)).count() == 0
     out = secrets.redact_secrets(frame(spark))
