@@ -5,7 +5,9 @@ don't begin a sentence) become typed placeholders, so that a question with other
 template. Every window of ``window`` tokens of every text is looked up among the hashed template windows of the
 benchmark; hits on one alignment of a text and an item are then checked token by token: what fills the slots of the
 item must correspond one way to what fills those of the text (the same name stays the same name), else the window
-doesn't count. A text is contaminated by an item if consistent windows with enough literal words match.
+doesn't count. Every pair of a text and an item with consistent windows of enough literal words is reported, with the
+item's share that matched. Rows are dropped by ``holds``: by what of the item they hold as it stands, or, with other
+numbers and names, by more of it and more literal words; so a common phrase or form drops nothing.
 
 The benchmark is the stated query set: its windows are sent to the executors in blocks of at most ``BLOCK_WINDOWS``
 (a few ten MB), each block against all rows; a larger benchmark takes more blocks.
@@ -31,6 +33,8 @@ from .common import bounded, ids_and_text, read, released
 from .scan import ALNUM_WORD, LOWER_TABLE, Chunk, U, chunks, per_chunk, starts_of_windows, windows
 
 WINDOW, LEAST_LITERALS, LEAST_TOKENS = 8, 4, 4
+#: What drops a row, in tokens of the item: see ``holds``.
+EXACT_RUN, WHOLE_LITERALS, FORM_LITERALS, FORM_RUN = 13, 6, 12, 20
 BLOCK_WINDOWS = 1_000_000
 UNITS = (
     "km m cm mm mi mile miles ft foot feet inch inches yard yards kg g mg lb lbs oz ton tons tonne tonnes l ml litre litres liter liters gallon gallons "
@@ -152,8 +156,30 @@ def _count(flags: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return sums[at + k] - sums[at]
 
 
-def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(row in the chunk, index of the item, item tokens matched, item tokens, whether all slots have the item's own values)."""
+def _run(spots: set[int]) -> int:
+    """The most neighbours among positions."""
+    longest = n = 0
+    for i in sorted(spots):
+        n = n + 1 if i - 1 in spots and n else 1
+        longest = max(longest, n)
+    return longest
+
+
+def holds(matched: set[int], exact: set[int], literal: set[int], size: int) -> bool:
+    """Whether a text that has these positions of an item of ``size`` tokens holds the item.
+
+    As it stands (``exact``): over half of the item, or a run of ``EXACT_RUN``. With other numbers and names: nearly all of
+    the item, literal words for half of it; or over half of it or a run of ``FORM_RUN``, with ``FORM_LITERALS`` literal words."""
+    if 2 * len(exact) > size or _run(exact) >= EXACT_RUN:
+        return True
+    words = len(matched & literal)
+    if 5 * len(matched) >= 4 * size and words >= WHOLE_LITERALS and 2 * words >= len(matched):
+        return True
+    return words >= FORM_LITERALS and (2 * len(matched) > size or _run(matched) >= FORM_RUN)
+
+
+def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, bool, bool]]:
+    """(row in the chunk, index of the item, item tokens matched, item tokens, whether all slots have the item's own values, ``holds``)."""
     t, b = canonical(chunk), bench.tokens
     found = defaultdict(set)  # (row, item, alignment) -> matched item positions
     values = {}
@@ -169,9 +195,9 @@ def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, b
             while lo < len(index.hashes) and index.hashes[lo] == h[p]:
                 found[row, int(index.item[lo]), p - int(index.at[lo])].add((int(index.at[lo]), index.size))
                 lo += 1
-    best: dict[tuple[int, int], tuple[set, bool]] = {}
+    best: dict[tuple[int, int], tuple[set, set, bool]] = {}
     for (row, item, shift), spots in found.items():
-        matched, same, there, back = set(), True, {}, {}
+        matched, exact, same, there, back = set(), set(), True, {}, {}
         for at, k in sorted(spots):
             new_there, new_back, equal, good = {}, {}, True, True
             for j in range(at, at + k):
@@ -186,26 +212,20 @@ def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, b
                 back |= new_back
                 same &= equal
                 matched.update(range(at, at + k))
+                if equal:
+                    exact.update(range(at, at + k))
         if matched:
-            old, was = best.get((row, item), (set(), True))
-            best[row, item] = (old | matched, was and same)
-    for (row, item), (matched, same) in sorted(best.items()):
-        yield row, item, len(matched), int(b.first[item + 1] - b.first[item]), same
+            old, old_exact, was = best.get((row, item), (set(), set(), True))
+            best[row, item] = (old | matched, old_exact | exact, was and same)
+    for (row, item), (matched, exact, same) in sorted(best.items(), key=lambda x: x[0]):
+        size = int(b.first[item + 1] - b.first[item])
+        yield row, item, len(matched), size, same, holds(matched, exact, {j for j in matched if b.literal[j]}, size)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LEAST_LITERALS) -> DataFrame:
-    """One row for each text and item that it holds: doc_id, item_id, n_tokens matched, coverage of the item, kind."""
+    """One row for each text and item that match: doc_id, item_id, n_tokens matched, coverage of the item, kind."""
     docs = ids_and_text(docs)
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    blocks, ids, texts, size = [], [], [], 0
-    for r in items.orderBy("item_id", "text").toLocalIterator():
-        ids.append(r.item_id)
-        texts.append(r.text)
-        size += len(r.text) // 2 + 1
-        if size >= BLOCK_WINDOWS:
-            blocks.append((ids, texts))
-            ids, texts, size = [], [], 0
-    blocks.append((ids, texts))
+    blocks = _blocks(benchmark)
 
     def against(ids: list, texts: list) -> DataFrame:
         bench = None
@@ -215,19 +235,49 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
             bench = bench or Benchmark.of(ids, texts, window, literals)
             for rows, chunk in per_chunk(batches):
                 own = rows.column(0).to_pylist()
-                out = [(own[r], bench.ids[i], n, n / of, "exact" if same else "reparameterised") for r, i, n, of, same in hits(chunk, bench)]
+                out = [(own[r], bench.ids[i], n, n / of, "exact" if same else "reparameterised") for r, i, n, of, same, _ in hits(chunk, bench)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["doc_id", "item_id", "n_tokens", "coverage", "kind"])
 
         return docs.mapInArrow(released(run), "doc_id long, item_id long, n_tokens long, coverage double, kind string")
 
-    return reduce(DataFrame.unionAll, [against(*x) for x in blocks if x[0]] or [docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("coverage"), F.lit("").alias("kind")).filter("false")])
+    return reduce(DataFrame.unionAll, [against(*x) for x in blocks] or [docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("coverage"), F.lit("").alias("kind")).filter("false")])
+
+
+def _blocks(benchmark: DataFrame) -> list[tuple[list, list]]:
+    """Ids and texts of the items, in blocks of about ``BLOCK_WINDOWS`` windows."""
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    blocks, ids, texts, size = [], [], [], 0
+    for r in items.orderBy("item_id", "text").toLocalIterator():
+        ids.append(r.item_id)
+        texts.append(r.text)
+        size += len(r.text) // 2 + 1
+        if size >= BLOCK_WINDOWS:
+            blocks.append((ids, texts))
+            ids, texts, size = [], [], 0
+    blocks.append((ids, texts))
+    return [x for x in blocks if x[0]]
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return bounded(docs).join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of ``docs`` whose text ``holds`` no benchmark item, with all their columns; each row is judged by its own text."""
+    at, schema = docs.columns.index("text"), docs.schema
+
+    def without(docs: DataFrame, ids: list, texts: list) -> DataFrame:
+        bench = None
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal bench
+            bench = bench or Benchmark.of(ids, texts)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for chunk in chunks(batch.column(at)):
+                    keep[[chunk.rows.start + r for r, *_, held in hits(chunk, bench) if held]] = False
+                yield batch.filter(pa.array(keep))
+
+        return docs.mapInArrow(released(run), schema)
+
+    return reduce(lambda left, block: without(left, *block), _blocks(benchmark), bounded(docs))
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,6 +161,16 @@ def test_decontamination_finds_every_exact_passage(spark):
     assert kept.columns == small(spark).columns and {r.doc_id for r in kept.collect()} == {d.doc_id for d in docs} - {d for d, _ in got}
 
 
+def test_decontamination_drops_by_coverage(spark):
+    """A common form or phrase drops nothing, an item that is there for the most part does; rows without doc_id stand for themselves."""
+    items = ["Ada Lovelace was born in London on 10 December 1815", "It is the end of the day as we know it, so " + ITEM]
+    whole = "So " + ITEM.replace("12", "14").replace("Ben", "Carl")
+    texts = ["Yes, Johann Goethe was born in Frankfurt on 28 August 1749.", "At the end of the day as we know it all is well.", "Then " + items[0], whole, "a clean text"]
+    rows_ = [(None if i in (2, 4) else i, t) for i, t in enumerate(texts)]
+    docs, bench = spark.createDataFrame(rows_, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {r.text for r in decontaminate.drop_contaminated(docs, bench).collect()} == {texts[0], texts[1], texts[4]}
+
+
 def test_decontamination_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(frame(spark), bench).count() == 0
