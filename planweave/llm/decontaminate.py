@@ -5,7 +5,8 @@ don't begin a sentence) become typed placeholders, so that a question with other
 template. Every window of ``window`` tokens of every text is looked up among the hashed template windows of the
 benchmark; hits on one alignment of a text and an item are then checked token by token: what fills the slots of the
 item must correspond one way to what fills those of the text (the same name stays the same name), else the window
-doesn't count. Every pair of a text and an item with consistent windows of enough literal words is reported, with the
+doesn't count. Windows of plain words (lower-cased, without placeholders) are looked up beside them, so that items with
+few literal words and short ones are found as they stand. Every pair of a text and an item with consistent windows of enough literal words is reported, with the
 item's share that matched. Rows are dropped by ``holds``: by what of the item they hold as it stands, or, with other
 numbers and names, by more of it and more literal words; so a common phrase or form drops nothing.
 
@@ -13,7 +14,8 @@ The benchmark is the stated query set: its windows are sent to the executors in
 (a few ten MB), each block against all rows; a larger benchmark takes more blocks.
 
 Defined cases: null or empty texts and items match nothing; items of under ``window`` tokens match as a whole, and
-those of under ``LEAST_TOKENS`` tokens never; repeated rows or items are all reported; empty tables give no hits; other
+those of under ``LEAST_TOKENS`` tokens as they stand only. Items of under ``LEAST_TOKENS`` words are reported but drop no
+row, since a word or two say nothing of where they come from; repeated rows or items are all reported; empty tables give no hits; other
 columns are ignored.
 """
 
@@ -60,12 +62,17 @@ _UNIT_HASHES = np.sort(_word_hashes(UNITS))
 
 @dataclass
 class Tokens:
-    """Canonical tokens of a chunk: template hash, hash of what stands there, whether it is a literal word, document bounds."""
+    """Canonical tokens of a chunk: template hash, hash of what stands there, whether it is a literal word, document bounds.
+
+    Also its plain words: their hashes, document bounds, and the token that each is of."""
 
     template: np.ndarray
     value: np.ndarray
     literal: np.ndarray
     first: np.ndarray
+    plain: np.ndarray
+    plain_first: np.ndarray
+    of: np.ndarray
 
 
 def canonical(chunk: Chunk) -> Tokens:
@@ -73,7 +80,7 @@ def canonical(chunk: Chunk) -> Tokens:
     starts, ends, first = chunk.spans(ALNUM_WORD)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return Tokens(none, none, np.zeros(0, bool), first)
+        return Tokens(none, none, np.zeros(0, bool), first, none, first, np.zeros(0, np.int64))
     sums = np.zeros(len(buf) + 1, np.int32)
     np.cumsum(_DIGIT[buf], out=sums[1:], dtype=np.int32)
     number = sums[ends] > sums[starts]
@@ -88,7 +95,7 @@ def canonical(chunk: Chunk) -> Tokens:
     wide = np.flatnonzero((buf[starts] == 0xC3) & (ends - starts > 1))
     upper[wide] = (buf[starts[wide] + 1] >= 0x80) & (buf[starts[wide] + 1] <= 0x9E)
     name = upper & ~opens & ~number
-    value = chunk.hashes(starts, ends, LOWER_TABLE)
+    plain = value = chunk.hashes(starts, ends, LOWER_TABLE)
     unit = np.zeros(len(starts), bool)
     after = np.flatnonzero(number[:-1] & ~doc_first[1:]) + 1
     if len(after):
@@ -104,7 +111,7 @@ def canonical(chunk: Chunk) -> Tokens:
     value = np.where(many, chunk.hashes(starts[keep], ends[last], LOWER_TABLE), value[keep])
     number, unit, name = number[keep], unit[keep], name[keep]
     template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
-    return Tokens(template, value, ~(number | unit | name), np.searchsorted(keep, first))
+    return Tokens(template, value, ~(number | unit | name), np.searchsorted(keep, first), plain, first, np.cumsum(~joined) - 1)
 
 
 @dataclass
@@ -129,25 +136,31 @@ class Benchmark:
     ids: list
     tokens: Tokens
     indexes: list[Index]
+    plain: list[Index]
 
     @staticmethod
     def of(ids: list, texts: list[str | None], window: int = WINDOW, literals: int = LEAST_LITERALS) -> Benchmark:
         (chunk,) = chunks(pa.array(texts, pa.string()), 1 << 40)
         t = canonical(chunk)
-        sizes = np.diff(t.first)
-        indexes = []
-        for k in sorted({min(int(n), window) for n in sizes if n >= LEAST_TOKENS}):
-            items = np.repeat(np.arange(len(ids)), sizes)
-            ok = starts_of_windows(t.first, k) & (np.minimum(sizes, window)[items] == k)
-            at = np.flatnonzero(ok)
-            at = at[_count(t.literal, at, k) >= min(literals, k)]
-            h = windows(t.template, k)[at] if len(at) else t.template[:0]
-            if len(h):
-                order = np.argsort(h, kind="stable")
-                near = np.zeros(1 << 20, bool)
-                near[(h >> U(44)).astype(np.int64)] = True
-                indexes.append(Index(k, h[order], items[at][order], at[order], near))
-        return Benchmark(ids, t, indexes)
+        return Benchmark(ids, t, _indexes(t.template, t.first, window, LEAST_TOKENS, t.literal, literals), _indexes(t.plain, t.plain_first, window))
+
+
+def _indexes(h: np.ndarray, first: np.ndarray, window: int, least: int = 1, literal: np.ndarray | None = None, literals: int = 0) -> list[Index]:
+    """Windows of ``h`` by their length: ``window``, or all of a shorter item; with ``literal``, those with enough literal words."""
+    sizes = np.diff(first)
+    items = np.repeat(np.arange(len(sizes)), sizes)
+    indexes = []
+    for k in sorted({min(int(n), window) for n in sizes if n >= least}):
+        at = np.flatnonzero(starts_of_windows(first, k) & (np.minimum(sizes, window)[items] == k))
+        if literal is not None:
+            at = at[_count(literal, at, k) >= min(literals, k)]
+        own = windows(h, k)[at] if len(at) else h[:0]
+        if len(own):
+            order = np.argsort(own, kind="stable")
+            near = np.zeros(1 << 20, bool)
+            near[(own >> U(44)).astype(np.int64)] = True
+            indexes.append(Index(k, own[order], items[at][order], at[order], near))
+    return indexes
 
 
 def _count(flags: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -178,23 +191,31 @@ def holds(matched: set[int], exact: set[int], literal: set[int], size: int) -> b
     return words >= FORM_LITERALS and (2 * len(matched) > size or _run(matched) >= FORM_RUN)
 
 
-def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, bool, bool]]:
-    """(row in the chunk, index of the item, item tokens matched, item tokens, whether all slots have the item's own values, ``holds``)."""
-    t, b = canonical(chunk), bench.tokens
-    found = defaultdict(set)  # (row, item, alignment) -> matched item positions
-    values = {}
-    for index in bench.indexes:
-        h = windows(t.template, index.size)
+def _matches(indexes: list[Index], own: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, position, item, its position, length) of the windows of a chunk's hashes that stand in an item."""
+    for index in indexes:
+        h = windows(own, index.size)
         if not len(h):
             continue
         at = index.look_up(h)
-        at = at[starts_of_windows(t.first, index.size)[at]]
-        rows = np.searchsorted(t.first, at, "right") - 1
+        at = at[starts_of_windows(first, index.size)[at]]
+        rows = np.searchsorted(first, at, "right") - 1
         for p, row in zip(at.tolist(), rows.tolist(), strict=True):
             lo = int(np.searchsorted(index.hashes, h[p]))
             while lo < len(index.hashes) and index.hashes[lo] == h[p]:
-                found[row, int(index.item[lo]), p - int(index.at[lo])].add((int(index.at[lo]), index.size))
+                yield row, p, int(index.item[lo]), int(index.at[lo]), index.size
                 lo += 1
+
+
+def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, bool, bool]]:
+    """(row in the chunk, index of the item, item tokens matched, item tokens, whether all slots have the item's own values, ``holds``)."""
+    t, b = canonical(chunk), bench.tokens
+    found = defaultdict(set)  # (row, item, alignment) -> matched item positions
+    for row, p, item, at, k in _matches(bench.indexes, t.template, t.first):
+        found[row, item, p - at].add((at, k))
+    plain = defaultdict(set)  # (row, item) -> plain words of the item that stand there
+    for row, _, item, at, k in _matches(bench.plain, t.plain, t.plain_first):
+        plain[row, item].update(range(at, at + k))
     best: dict[tuple[int, int], tuple[set, set, bool]] = {}
     for (row, item, shift), spots in found.items():
         matched, exact, same, there, back = set(), set(), True, {}, {}
@@ -217,9 +238,18 @@ def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, b
         if matched:
             old, old_exact, was = best.get((row, item), (set(), set(), True))
             best[row, item] = (old | matched, old_exact | exact, was and same)
-    for (row, item), (matched, exact, same) in sorted(best.items(), key=lambda x: x[0]):
-        size = int(b.first[item + 1] - b.first[item])
-        yield row, item, len(matched), size, same, holds(matched, exact, {j for j in matched if b.literal[j]}, size)
+    for row, item in sorted(best.keys() | plain.keys()):
+        matched, exact, same = best.get((row, item), (set(), set(), True))
+        if words := plain.get((row, item)):
+            lo, hi = int(b.plain_first[item]), int(b.plain_first[item + 1])
+            whole = {int(x) for x in b.of[sorted(words)]} - {int(x) for x in b.of[sorted(set(range(lo, hi)) - words)]}  # tokens with all their words
+            exact = exact | whole
+            matched = matched | whole
+            same = same or matched <= exact
+        if matched:
+            size = int(b.first[item + 1] - b.first[item])
+            held = b.plain_first[item + 1] - b.plain_first[item] >= LEAST_TOKENS and holds(matched, exact, {j for j in matched if b.literal[j]}, size)
+            yield row, item, len(matched), size, same, bool(held)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LEAST_LITERALS) -> DataFrame:

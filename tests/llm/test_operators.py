@@ -171,6 +171,17 @@ def test_decontamination_drops_by_coverage(spark):
     assert {r.text for r in decontaminate.drop_contaminated(docs, bench).collect()} == {texts[0], texts[1], texts[4]}
 
 
+def test_decontamination_few_literals(spark):
+    """Items without enough literal words, short ones, and ones whose first word looks like a name are found as they stand."""
+    items = ["Compute 12 + 7 * 3 - 4", "What is 17 * 24?", "3, 5, 8, 13, 21, 34, 55, 89, 144, 233", "Ada Lovelace, Alan Turing, Kurt Goedel", "Name the capital of France", "Paris"]
+    texts = [f"so we write (a) {t.upper() if i == 1 else t} and go on" for i, t in enumerate(items)]
+    other = ["compute 12 + 7 * 3 - 5", "what is 17 * 25?", "3, 5, 8, 13, 21"]
+    got = contaminated(spark, texts + other, items)
+    assert {k: got.get(k) for k in ((i, 10 + i) for i in range(6))} == {(i, 10 + i): "exact" for i in range(6)} and set(got) == {(i, 10 + i) for i in range(6)}
+    docs, bench = spark.createDataFrame(list(enumerate(texts + other)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {5, 6, 7, 8}
+
+
 def test_decontamination_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(frame(spark), bench).count() == 0
