@@ -4,7 +4,8 @@ Each text is a first layer. A layer is scanned for the three base kinds, and for
 URL escapes, Unicode escapes, base64 and, inside base64, zlib, gzip or raw deflate data. Every decoded layer is opened
 in turn. Equal layers (by digest) are opened once, and their secrets count at every place where the layer stands; a
 layer that stands in itself is not opened again there, so cycles end. A secret found in an inner layer is reported with
-the span of the text that it was decoded from and its path, such as ``base64/zlib``.
+the span of the text that it was decoded from and its path, such as ``base64/zlib``. Base64 that is wrapped, indented or
+not, is decoded as a whole and has the span of the whole run.
 
 Defined cases: a null or empty text has no secrets; repeated rows give repeated results; an empty table gives none;
 other columns are ignored. A compressed layer is opened whole, but one that would grow more than ``MAX_RATIO`` times
@@ -19,6 +20,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +38,10 @@ MIN_VALUE = 6
 HINT = re.compile(r"passw|secret|token|api_?key", re.A)
 URL, UNICODE = re.compile(r"%[0-9A-Fa-f]{2}"), re.compile(r"\\u\{?[0-9A-Fa-f]{4}\}?|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{2,5};|&#[0-9]{2,6};")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{4}){4,}[A-Za-z0-9+/_-]{0,3}={0,2}")
+#: Base64 in lines, with what may stand between them; a line's first and last run may have other words before or behind it.
+LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++={0,2}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++={0,2}+)++")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+LEAST_BASE64 = 16
 MAX_RATIO = 200
 
 
@@ -117,27 +123,73 @@ def _text_of(raw: bytes) -> str | None:
     return text if text and sum(c.isprintable() or c in "\n\r\t" for c in text) >= 0.95 * len(text) else None
 
 
-def _layers(text: str) -> Iterator[tuple[str, str, Places | tuple[int, int]]]:
-    """Layers that stand in this one: how, text, and the spans of their characters (or one span for all)."""
+def _decoded(s: str) -> tuple[str, str] | None:
+    """How base64 is decoded to a text, and the text."""
+    s = s.rstrip("=").replace("-", "+").replace("_", "/")
+    if s.isalpha() and (s.islower() or s[1:].islower()) or len(s) % 4 == 1:
+        return None  # a long word
+    try:
+        raw = base64.b64decode(s + "=" * (-len(s) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return None
+    how = "base64"
+    seen = set()
+    while (x := _inflate(raw)) and raw not in seen:
+        seen.add(raw)
+        how, raw = f"{how}/{x[0]}", x[1]
+    return (how, inner) if (inner := _text_of(raw)) else None
+
+
+def _ranges(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Which neighbouring lines may be one wrapped run, longest first: all, all but the outer ones (words that are no part of
+    it), and lines of one width with a shorter one behind or any before them."""
+    n = len(sizes)
+    found, i = {(0, n), (1, n), (0, n - 1), (1, n - 1)}, 0
+    while i < n:
+        j = i + 1
+        while j < n and sizes[j] == sizes[i]:
+            j += 1
+        found |= {(lo, hi) for lo in (max(i - 1, 0), i) for hi in (j, min(j + 1, n))}
+        i = j
+    yield from sorted((x for x in found if x[1] - x[0] > 1), key=lambda x: (x[0] - x[1], x))
+
+
+def _wrapped(text: str) -> Iterator[tuple[str, str, tuple[int, int]]]:
+    """Layers in base64 that runs over line ends: how, text, span."""
+    for m in LINES.finditer(text):
+        if m.end() - m.start() < LEAST_BASE64:
+            continue
+        runs = [(x.start(), x.end()) for x in RUN.finditer(text, m.start(), m.end())]
+        ends = [k + 1 for k, (_, b) in enumerate(runs) if text[b - 1] == "="]  # padding ends a run
+        for first, last in zip([0, *ends], [*ends, len(runs)], strict=True):
+            part = runs[first:last]
+            taken: list[tuple[int, int]] = []
+            for lo, hi in _ranges([b - a for a, b in part]) if len(part) > 1 else ():
+                if any(a < hi and lo < b for a, b in taken):
+                    continue
+                joined = "".join([text[a:b] for a, b in part[lo:hi]])
+                if len(joined) >= LEAST_BASE64 and (x := _decoded(joined)):
+                    taken.append((lo, hi))
+                    yield *x, (part[lo][0], part[hi - 1][1])
+
+
+def _layers(text: str) -> Iterator[tuple[str, str, Places | tuple[int, int], tuple[int, int] | None]]:
+    """Layers that stand in this one: how, text, the places of its characters (or one span for all), and the span of the
+    wrapped run that it is a line of."""
     if "%" in text and URL.search(text) and (x := _escapes(text, URL, _url)):
-        yield "url", *x
+        yield "url", *x, None
     if ("\\" in text or "&#" in text) and UNICODE.search(text) and (x := _escapes(text, UNICODE, _unicode)):
-        yield "unicode", *x
+        yield "unicode", *x, None
+    runs = []
+    if "\n" in text:
+        for how, inner, span in _wrapped(text):
+            runs.append(span)
+            yield how, inner, span, None
+    runs.sort()
     for m in BASE64.finditer(text):
-        s = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if s.isalpha() and (s.islower() or s[1:].islower()) or len(s) % 4 == 1:
-            continue  # a long word
-        try:
-            raw = base64.b64decode(s + "=" * (-len(s) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        how = "base64"
-        seen = set()
-        while (x := _inflate(raw)) and raw not in seen:
-            seen.add(raw)
-            how, raw = f"{how}/{x[0]}", x[1]
-        if inner := _text_of(raw):
-            yield how, inner, (m.start(), m.end())
+        if x := _decoded(m[0]):
+            k = bisect_right(runs, (m.start(), len(text))) - 1
+            yield *x, m.span(), runs[k] if k >= 0 and m.end() <= runs[k][1] else None
 
 
 def _digest(text: str) -> bytes:
@@ -152,8 +204,25 @@ class _Layer:
         self.found = {s: "" for s in base_spans(text)}
         self.cut = depth  # the outermost layer that an inner one repeats
         self.now = None
-
-    def take(self, how: str, spans: Places | tuple[int, int], inner: dict) -> None:
+        self.lines: list[tuple[str, tuple[int, int], tuple[int, int], dict]] = []
+        self.counts: dict[tuple[int, int], Counter] = {}
+
+    def take(self, how: str, spans: Places | tuple[int, int], within: tuple[int, int] | None, inner: dict) -> None:
+        """Keeps the secrets of lines of a wrapped run for ``close``, and adds others at once."""
+        if within:
+            self.lines.append((how, spans, within, inner))
+            return
+        if isinstance(spans, tuple):
+            self.counts[spans] = Counter(kind for *_, kind in inner)
+        self.add(how, spans, inner)
+
+    def close(self) -> None:
+        """Adds the secrets of single lines, but for a kind of which the run that they are of holds as many: it has them whole."""
+        alone = Counter((within, kind) for _, _, within, inner in self.lines for *_, kind in inner)
+        for how, spans, within, inner in self.lines:
+            self.add(how, spans, {s: path for s, path in inner.items() if self.counts.get(within, {}).get(s[2], 0) < alone[within, s[2]]})
+
+    def add(self, how: str, spans: Places | tuple[int, int], inner: dict) -> None:
         """Secrets of an inner layer at the places that it was decoded from; of two paths to one span the shorter stays."""
         for (a, b, kind), path in inner.items():
             key = (*spans, kind) if isinstance(spans, tuple) else (spans[a][0], spans[b - 1][1], kind)
@@ -177,18 +246,19 @@ def _secrets(text: str, known: dict[bytes, dict], path: dict[bytes, int]) -> tup
     path[digest] = len(path)
     while True:
         layer = stack[-1]
-        for how, inner, spans in layer.layers:
+        for how, inner, spans, within in layer.layers:
             digest = _digest(inner)
             if digest in known:
-                layer.take(how, spans, known[digest])
+                layer.take(how, spans, within, known[digest])
             elif digest in path:
                 layer.cut = min(layer.cut, path[digest])
             else:
-                layer.now = how, spans
+                layer.now = how, spans, within
                 stack.append(_Layer(inner, digest, len(path)))
                 path[digest] = len(path)
                 break
         else:
+            layer.close()
             stack.pop()
             del path[layer.digest]
             if layer.cut >= layer.depth:

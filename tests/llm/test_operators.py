@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import gzip
 import hashlib
 import math
 import re
@@ -421,6 +422,28 @@ def test_secrets_in_equal_layers(spark):
         assert what not in secrets.redact_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_secrets_in_wrapped_base64(spark, end):
+    """Secrets that cross a line end, and compressed data of many lines."""
+    noise = " ".join(hashlib.sha256(bytes([i])).hexdigest()[:20] for i in range(30))
+    plain = b"some words of a file, then password = abcdefghijklmnop and more words behind"
+    for path, raw in (("base64", plain), ("base64/gzip", gzip.compress(noise.encode() + plain)), ("base64/zlib", zlib.compress(noise.encode() + plain))):
+        for width in (20, 64, 76):
+            code = base64.b64encode(raw).decode()
+            blob = end.join(code[i : i + width] for i in range(0, len(code), width))
+            for text in (f"key: {blob}", f"-----BEGIN X-----{end}{blob}{end}-----END X-----", f"words here{end}{blob}{end}words behind it"):
+                at = text.index(blob)
+                assert [m for m in secrets.scan(text)[1] if m[2] == "assign"] == [(at, at + len(blob), "assign", path)]
+                assert blob not in secrets.redact_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text if width == 64 else True
+
+
+def test_secrets_of_lines_that_are_no_run():
+    """Separate blobs on lines behind one another keep their own spans."""
+    lines = [base64.b64encode(f"token = abcdef12345{i}".encode()).decode() for i in range(3)]
+    found = {m[:2] for m in secrets.scan("\n".join(lines))[1]}
+    assert {(29 * i, 29 * i + 28) for i in range(3)} <= found
+
+
 def test_secrets_cases(spark):
     assert secrets.scan_secrets(frame(spark)).count() == len(awkward()) and secrets.scan_secrets(empty(spark)).count() == 0
     out = secrets.redact_secrets(frame(spark))
