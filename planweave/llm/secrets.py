@@ -8,20 +8,24 @@ the span of the text that it was decoded from and its path, such as ``base64/zli
 not, is decoded as a whole and has the span of the whole run.
 
 Defined cases: a null or empty text has no secrets; repeated rows give repeated results; an empty table gives none;
-other columns are ignored. A compressed layer is opened whole, but one that would grow more than ``MAX_RATIO`` times
-is no credible text and is left closed, as is data that isn't UTF-8 text.
+other columns are ignored. A compressed layer is opened whole; one that grows more than ``MAX_RATIO`` times is inflated
+as a stream and scanned in pieces of ``PIECE`` characters that overlap by ``OVERLAP``, however long it is. Data that
+isn't UTF-8 text, or that is cut short, is left closed.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +47,8 @@ LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++={0,2}+(?:[ \t]*+\r?\n
 RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 LEAST_BASE64 = 16
 MAX_RATIO = 200
+PIECE, OVERLAP, STEP = 1 << 22, 1 << 20, 1 << 18
+HEADS = (("zlib", b"\x78", 15), ("gzip", b"\x1f\x8b", 31))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -102,29 +108,92 @@ def _unicode(text: str, pattern: re.Pattern):
             yield m.start(), m.end(), chr(code)
 
 
-def _inflate(raw: bytes) -> tuple[str, bytes] | None:
-    for name, head, bits in (("zlib", b"\x78", 15), ("gzip", b"\x1f\x8b", 31)):
+def _inflated(chunks: Iterable[bytes], bits: int) -> Iterator[bytes]:
+    """What compressed data becomes, part by part; all members of gzip data. Raises zlib.error if it is none, or cut short."""
+    d = zlib.decompressobj(bits)
+    for data in chunks:
+        while True:
+            out = d.decompress(data, STEP)
+            if out:
+                yield out
+            if d.eof:
+                data = d.unused_data
+                if bits != 31 or not data.startswith(b"\x1f\x8b"):
+                    return
+                d = zlib.decompressobj(bits)
+            else:
+                data = d.unconsumed_tail
+                if not data and len(out) < STEP:
+                    break
+    raise zlib.error("cut short")
+
+
+def _inflate(raw: bytes, kinds) -> tuple[str, bytes | None, int] | None:
+    """The kind, the data, or None if it grows more than ``MAX_RATIO`` times, and the window bits."""
+    for name, head, bits in kinds:
         if raw.startswith(head):
+            parts, size = [], 0
             try:
-                d = zlib.decompressobj(bits)
-                out = d.decompress(raw, MAX_RATIO * len(raw) + 4096)
-                if d.eof:
-                    return name, out
+                for out in _inflated([raw], bits):
+                    parts.append(out)
+                    size += len(out)
+                    if size > MAX_RATIO * len(raw) + 4096:
+                        return name, None, bits
+                return name, b"".join(parts), bits
             except zlib.error:
                 continue
     return None
 
 
+def _odd(text: str) -> int:
+    """How many characters aren't printed."""
+    text = text.replace("\n", "").replace("\r", "").replace("\t", "")
+    return 0 if text.isprintable() else sum(not c.isprintable() for c in text)
+
+
 def _text_of(raw: bytes) -> str | None:
     try:
         text = raw.decode()
     except UnicodeDecodeError:
         return None
-    return text if text and sum(c.isprintable() or c in "\n\r\t" for c in text) >= 0.95 * len(text) else None
+    return text if text and len(text) - _odd(text) >= 0.95 * len(text) else None
 
 
-def _decoded(s: str) -> tuple[str, str] | None:
-    """How base64 is decoded to a text, and the text."""
+def _pieces(chunks: Iterable[bytes]) -> Iterator[tuple[str, str]]:
+    """Texts of a stream in overlapping pieces, each with how more layers of compression were opened; raises an error if it is no text."""
+    chunks = iter(chunks)
+    head = next(chunks, b"")
+    kinds = [(name, bits) for name, start, bits in HEADS if head.startswith(start)]
+    try:
+        codecs.getincrementaldecoder("utf-8")().decode(head)
+    except UnicodeDecodeError:
+        kinds.append(("deflate", -15))
+    for name, bits in kinds:
+        try:
+            next(_inflated([head], bits), None)
+        except zlib.error:
+            continue
+        for how, text in _pieces(_inflated(chain([head], chunks), bits)):
+            yield f"/{name}{how}", text
+        return
+    decoder, parts, held, odd, size = codecs.getincrementaldecoder("utf-8")(), [], 0, 0, 0
+    for data in chain([head], chunks):
+        part = decoder.decode(data)
+        odd, size = odd + _odd(part), size + len(part)
+        parts.append(part)
+        held += len(part)
+        if held >= PIECE:
+            text = "".join(parts)
+            yield "", text
+            parts, held = [text[-OVERLAP:]], OVERLAP
+    decoder.decode(b"", True)
+    yield "", "".join(parts)
+    if size - odd < 0.95 * size:
+        raise ValueError("no text")
+
+
+def _decoded(s: str) -> tuple[str, str | Callable] | None:
+    """How base64 is decoded to a text, and the text, or a function that gives its pieces if it is too long."""
     s = s.rstrip("=").replace("-", "+").replace("_", "/")
     if s.isalpha() and (s.islower() or s[1:].islower()) or len(s) % 4 == 1:
         return None  # a long word
@@ -134,10 +203,18 @@ def _decoded(s: str) -> tuple[str, str] | None:
         return None
     how = "base64"
     seen = set()
-    while (x := _inflate(raw)) and raw not in seen:
+    while raw not in seen:
         seen.add(raw)
-        how, raw = f"{how}/{x[0]}", x[1]
-    return (how, inner) if (inner := _text_of(raw)) else None
+        x = _inflate(raw, HEADS)
+        if not x and (inner := _text_of(raw)):
+            return how, inner
+        if not x and not (x := _inflate(raw, (("deflate", b"", -15),))):
+            return None
+        how = f"{how}/{x[0]}"
+        if x[1] is None:
+            return how, partial(lambda raw, bits: _pieces(_inflated([raw], bits)), raw, x[2])
+        raw = x[1]
+    return None
 
 
 def _ranges(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -154,7 +231,7 @@ def _ranges(sizes: list[int]) -> Iterator[tuple[int, int]]:
     yield from sorted((x for x in found if x[1] - x[0] > 1), key=lambda x: (x[0] - x[1], x))
 
 
-def _wrapped(text: str) -> Iterator[tuple[str, str, tuple[int, int]]]:
+def _wrapped(text: str) -> Iterator[tuple[str, str | Callable, tuple[int, int]]]:
     """Layers in base64 that runs over line ends: how, text, span."""
     for m in LINES.finditer(text):
         if m.end() - m.start() < LEAST_BASE64:
@@ -173,7 +250,7 @@ def _wrapped(text: str) -> Iterator[tuple[str, str, tuple[int, int]]]:
                     yield *x, (part[lo][0], part[hi - 1][1])
 
 
-def _layers(text: str) -> Iterator[tuple[str, str, Places | tuple[int, int], tuple[int, int] | None]]:
+def _layers(text: str) -> Iterator[tuple[str, str | Callable, Places | tuple[int, int], tuple[int, int] | None]]:
     """Layers that stand in this one: how, text, the places of its characters (or one span for all), and the span of the
     wrapped run that it is a line of."""
     if "%" in text and URL.search(text) and (x := _escapes(text, URL, _url)):
@@ -247,6 +324,11 @@ def _secrets(text: str, known: dict[bytes, dict], path: dict[bytes, int]) -> tup
     while True:
         layer = stack[-1]
         for how, inner, spans, within in layer.layers:
+            if not isinstance(inner, str):
+                found, cut = _of_pieces(inner, known, path)
+                layer.take(how, spans, within, found)
+                layer.cut = min(layer.cut, cut)
+                continue
             digest = _digest(inner)
             if digest in known:
                 layer.take(how, spans, within, known[digest])
@@ -269,6 +351,20 @@ def _secrets(text: str, known: dict[bytes, dict], path: dict[bytes, int]) -> tup
             stack[-1].cut = min(stack[-1].cut, layer.cut)
 
 
+def _of_pieces(pieces: Callable, known: dict[bytes, dict], path: dict[bytes, int]) -> tuple[dict, int]:
+    """As ``_secrets``, of a layer that comes in pieces: one secret of each kind, as all have the span of the whole layer."""
+    found, cut = {}, len(path)
+    try:
+        for how, piece in pieces():
+            inner, repeated = _secrets(piece, known, path)
+            cut = min(cut, repeated)
+            for (_, _, kind), name in inner.items():
+                found.setdefault((0, 1, kind), f"{how[1:]}/{name}".strip("/"))
+    except (zlib.error, ValueError):
+        return {}, cut
+    return found, cut
+
+
 def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, str]]]:
     """Base spans, and (start, end, kind, path) of secrets in decoded layers that no base span of that kind covers."""
     found, _ = _secrets(text or "", {}, {})

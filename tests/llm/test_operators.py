@@ -444,6 +444,21 @@ def test_secrets_of_lines_that_are_no_run():
     assert {(29 * i, 29 * i + 28) for i in range(3)} <= found
 
 
+def test_secrets_in_deflate_and_long_layers():
+    """Raw deflate, gzip of several members, and layers that grow more than MAX_RATIO times, compressed twice too."""
+    inner = b"token = abcdef123456"
+    raw = lambda x: (c := zlib.compressobj(9, zlib.DEFLATED, -15)).compress(x) + c.flush()
+    log = b"all is well here\n" * 600_000
+    cases = {
+        "base64/deflate": raw(b"some words and " + inner), "base64/gzip": gzip.compress(b"one, ") + gzip.compress(inner), "base64/zlib": zlib.compress(log + inner + b"\n" + log, 9),
+        "base64/deflate/gzip": raw(gzip.compress(log + inner)), "base64/zlib/base64": zlib.compress(log + base64.b64encode(inner) + b"\n" + log[:5000], 9),
+    }
+    for path, data in cases.items():
+        blob = base64.b64encode(data).decode()
+        assert secrets.scan(f"x {blob} y")[1] == [(2, 2 + len(blob), "assign", path)], path
+    assert secrets.scan(base64.b64encode(zlib.compress(log + inner, 9)[:-9]).decode())[1] == []
+
+
 def test_secrets_cases(spark):
     assert secrets.scan_secrets(frame(spark)).count() == len(awkward()) and secrets.scan_secrets(empty(spark)).count() == 0
     out = secrets.redact_secrets(frame(spark))
