@@ -41,7 +41,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Distinct sampled segmentations of every document, as digests, with inclusion scores.
+    """Distinct sampled segmentations of every document, as piece ids with digests and inclusion scores.
 
     Smaller chunks than alone: the executors' heaps have grown in the stages before."""
     return encode(docs, digests=True, chunk_bytes=3 << 19)

@@ -83,6 +83,13 @@ class Pieces:
     def decode(self, ids) -> str:
         return b"".join([self.raw[i] for i in ids])[1:].decode()
 
+    def texts(self, ids: pa.ListArray) -> list[str | None]:
+        """What each list of ids spells."""
+        table = np.empty(max(self.raw) + 1, object)
+        table[list(self.raw)] = list(self.raw.values())
+        flat, at, none = ids.values.to_numpy(), ids.offsets.to_numpy(), np.asarray(ids.is_null())
+        return [None if gone else b"".join(table[flat[a:b]].tolist())[1:].decode() for a, b, gone in zip(at[:-1].tolist(), at[1:].tolist(), none.tolist(), strict=True)]
+
 
 @lru_cache(2)
 def pieces(path: str) -> Pieces:
@@ -328,33 +335,33 @@ def segment(model: Pieces, keys: np.ndarray, texts: list[bytes], k: int = SAMPLE
 
 
 def encode(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None = None, digests: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """doc_id, sample (from 0), n_pieces, log_prob, perturbed, inclusion and ids; with ``digests``, ids_crc32 and whether decoding gives the text instead of ids."""
+    """doc_id, sample (from 0), n_pieces, log_prob, perturbed, inclusion and ids; with ``digests``, also ids_crc32 and whether decoding these ids gives the text."""
     import public_tokenizers
 
     path = path or str(public_tokenizers.path(MODEL))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        raw = np.empty(max(model.raw) + 1, object)
-        raw[list(model.raw)] = list(model.raw.values())
         for batch in batches:
             for chunk in chunks(batch.column("text"), chunk_bytes):
                 rows = batch.slice(chunk.rows.start, chunk.n)
                 ids = rows.column(0)
                 keys = mix(ids.fill_null(0).to_numpy().astype(np.uint64)) ^ np.asarray(ids.is_null()).astype(np.uint64)
                 texts = [chunk.text(i) for i in range(chunk.n)]
-                out = []
-                for doc_id, text, samples in zip(ids.to_pylist(), texts, segment(model, keys, texts, k, seed), strict=True):
-                    for s, (x, logp, value, inclusion) in enumerate(samples):
-                        head = (doc_id, s, len(x), logp, value, inclusion)
-                        out.append((*head, zlib.crc32(x.astype("<u4").tobytes()), b"".join(raw[x].tolist())[1:] == text) if digests else (*head, x))
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+                out, whose = [], []
+                for i, (doc_id, samples) in enumerate(zip(ids.to_pylist(), segment(model, keys, texts, k, seed), strict=True)):
+                    out += [(doc_id, s, len(x), logp, value, inclusion, x) for s, (x, logp, value, inclusion) in enumerate(samples)]
+                    whose += [i] * len(samples)
+                cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=False)]
+                if digests:
+                    cols.append(pa.array([zlib.crc32(x[-1].astype("<u4").tobytes()) for x in out], pa.int64()))
+                    cols.append(pa.array([text.encode() == texts[i] for text, i in zip(model.texts(cols[-2]), whose, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     ints, reals = [pa.int64()] * 3, [pa.float64()] * 3
-    kinds = [*ints, *reals, *([pa.int64(), pa.bool_()] if digests else [pa.list_(pa.int32())])]
-    names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", *(["ids_crc32", "decoded"] if digests else ["ids"])]
-    ddl = "doc_id long, sample long, n_pieces long, log_prob double, perturbed double, inclusion double, " + ("ids_crc32 long, decoded boolean" if digests else "ids array<int>")
+    kinds = [*ints, *reals, pa.list_(pa.int32())]
+    names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids", *(["ids_crc32", "decoded"] if digests else [])]
+    ddl = "doc_id long, sample long, n_pieces long, log_prob double, perturbed double, inclusion double, ids array<int>" + (", ids_crc32 long, decoded boolean" if digests else "")
     return ids_and_text(docs).mapInArrow(released(run), ddl)
 
 
@@ -367,8 +374,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            texts = [None if x is None else model.decode(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sample"), pa.array(texts, pa.string())], ["doc_id", "sample", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sample"), pa.array(model.texts(batch.column("ids")), pa.string())], ["doc_id", "sample", "text"])
 
     return encoded.select("doc_id", "sample", "ids").mapInArrow(run, "doc_id long, sample long, text string")
 

@@ -278,6 +278,18 @@ def test_pieces_exhausted_and_seeded(spark):
     assert one == rows(pieces.encode(small(spark).repartition(7), digests=True)) and all(r[-1] for r in one)
 
 
+def test_pieces_query_returns_ids(spark):
+    """The query's and the last stage's ids spell the text and are what the digest is of."""
+    import corpus_pipeline
+
+    texts = {r.doc_id: r.text or "" for r in small(spark).collect()}
+    for out in (pieces.op5_sentencepiece(spark, DATA), corpus_pipeline.sentencepiece(spark, small(spark), DATA)):
+        found = out.collect()
+        assert {r.doc_id for r in found} == set(texts)
+        assert all(len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and r.decoded for r in found)
+        assert all(r.text == texts[r.doc_id] for r in pieces.decode(out).collect())
+
+
 # 6 ------------------------------------------------------------------------------------------------------------------
 
 
