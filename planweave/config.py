@@ -1,4 +1,7 @@
-"""Parameters of all stages, with YAML files that override them by section and key."""
+"""Parameters of all stages, with YAML files that override them by section and key.
+
+Section names, key names, ids and defaults are fixed values, so that existing files keep their meaning.
+"""
 
 from __future__ import annotations
 
@@ -24,14 +27,15 @@ TYPE_COLORS = {
 WALL_FILL, WALL_EDGE, WINDOW_COLOR, DOOR_COLOR, OPEN_FILL, OPEN_EDGE = "#6b7280", "#1f2937", "#2563eb", "#e03e9b", "#ffffff", "#9ca3af"
 
 
+# Sections, keys and defaults of configuration files.
 @dataclass(frozen=True)
 class Parsing:
+    boundary_semantic_ids: tuple = WALL_IDS
+    door_semantic_ids: tuple = DOOR_IDS
+    window_semantic_ids: tuple = WINDOW_IDS
     y_flip: bool = True
     arc_resolution: int = 20
     boundary_snap_tolerance: float = 0.5
-    boundary_ids: tuple = WALL_IDS
-    door_ids: tuple = DOOR_IDS
-    window_ids: tuple = WINDOW_IDS
 
 
 @dataclass(frozen=True)
@@ -75,19 +79,35 @@ class Separation:
 
 @dataclass(frozen=True)
 class Classification:
+    stair_ids: tuple = STAIR_IDS
+    elevator_ids: tuple = ELEVATOR_IDS
+    toilet_ids: tuple = TOILET_IDS
+    kitchen_ids: tuple = KITCHEN_IDS
     kitchen_wc_distance: float = 5.0
     walkway_max_thickness: float = 14.0
     walkway_max_solidity: float = 0.8
 
+    def priority(self) -> tuple:
+        """Room types with their ids, by priority."""
+        own = {"Stairs": self.stair_ids, "Elevator": self.elevator_ids, "WC": self.toilet_ids, "Kitchen": self.kitchen_ids}
+        return tuple((name, own.get(name, ids)) for name, ids in PRIORITY)
+
+
+@dataclass(frozen=True)
+class Export:
+    floor_level: str | None = None  # of all files that aren't given one; otherwise it is read from the file's name
+    default_facil_type: str = "Office"  # of rooms that neither objects nor shape say anything about
+
 
 @dataclass(frozen=True)
 class Config:
     parsing: Parsing = field(default_factory=Parsing)
     hatching: Hatching = field(default_factory=Hatching)
-    openings: Openings = field(default_factory=Openings)
+    door_closing: Openings = field(default_factory=Openings)
     cleaning: Cleaning = field(default_factory=Cleaning)
-    separation: Separation = field(default_factory=Separation)
+    polygonization: Separation = field(default_factory=Separation)
     classification: Classification = field(default_factory=Classification)
+    export: Export = field(default_factory=Export)
 
 
 def load_config(path: str | None) -> Config:
@@ -104,5 +124,7 @@ def load_config(path: str | None) -> Config:
         base = section.default_factory()
         known = {x.name for x in fields(base)}
         own = {k: tuple(v) if isinstance(v, list) else v for k, v in (data.get(section.name) or {}).items() if k in known}
+        if own.get("floor_level") is not None:
+            own["floor_level"] = str(own["floor_level"])
         out[section.name] = replace(base, **own)
     return Config(**out)

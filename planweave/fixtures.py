@@ -38,6 +38,36 @@ SELECT floor_id, a.i AS ci, b.i AS cj, CAST(a.i * w AS DOUBLE) AS minx, CAST(b.i
   CAST(CASE (a.i + 2 * b.i + floor_id) % 11 WHEN 0 THEN 28 WHEN 1 THEN 30 WHEN 2 THEN 29 WHEN 3 THEN 27 WHEN 4 THEN 19
     WHEN 5 THEN 31 WHEN 6 THEN 11 WHEN 7 THEN 32 WHEN 8 THEN 35 ELSE NULL END AS INT) AS object_sem
 FROM {dims} JOIN {steps} a ON a.i < nc JOIN {steps} b ON b.i < nr""",
+    # Whole plans: rooms of w by h in walls 2 thick, a canvas 10 wider on all sides, a door between the first two rooms, a
+    # window below the second, a hatching stroke in the outer wall, and objects in the middle of rooms.
+    "sheets": """
+SELECT floor_id, nc, nr, w, h, CAST(nc * (w + 2) + 2 AS DOUBLE) AS wide, CAST(nr * (h + 2) + 2 AS DOUBLE) AS high FROM {dims}""",
+    "rooms": """
+SELECT floor_id, a.i AS ci, b.i AS cj, CAST(12 + a.i * (w + 2) AS DOUBLE) AS x, CAST(12 + b.i * (h + 2) AS DOUBLE) AS y, CAST(w AS DOUBLE) AS w, CAST(h AS DOUBLE) AS h,
+  a.i = 0 AND b.i = 0 AS left_of_door, a.i = 1 AND b.i = 0 AS right_of_door,
+  CAST(CASE (a.i + 2 * b.i + floor_id) % 11 WHEN 0 THEN 28 WHEN 1 THEN 30 WHEN 2 THEN 29 WHEN 3 THEN 27 WHEN 4 THEN 19
+    WHEN 5 THEN 31 WHEN 6 THEN 11 WHEN 7 THEN 32 WHEN 8 THEN 35 ELSE NULL END AS INT) AS object_sem
+FROM {sheets} JOIN {steps} a ON a.i < nc JOIN {steps} b ON b.i < nr""",
+    "strokes": """
+WITH s AS (
+  SELECT floor_id, 33 AS semantic_id, CAST(NULL AS INT) AS instance_id, x AS x1, y AS y1, CASE WHEN right_of_door THEN x + 2 ELSE x + w END AS x2, y AS y2 FROM {rooms}
+  UNION ALL SELECT floor_id, 33, NULL, x + 6, y, x + w, y FROM {rooms} WHERE right_of_door
+  UNION ALL SELECT floor_id, 33, NULL, x, y + h, x + w, y + h FROM {rooms}
+  UNION ALL SELECT floor_id, 33, NULL, x, y, x, CASE WHEN right_of_door THEN y + 2 ELSE y + h END FROM {rooms}
+  UNION ALL SELECT floor_id, 33, NULL, x, y + 6, x, y + h FROM {rooms} WHERE right_of_door
+  UNION ALL SELECT floor_id, 33, NULL, x + w, y, x + w, CASE WHEN left_of_door THEN y + 2 ELSE y + h END FROM {rooms}
+  UNION ALL SELECT floor_id, 33, NULL, x + w, y + 6, x + w, y + h FROM {rooms} WHERE left_of_door
+  UNION ALL SELECT floor_id, 34, NULL, 10, 10, x + 2, 10 FROM {rooms} WHERE right_of_door
+  UNION ALL SELECT r.floor_id, 34, NULL, x + 6, 10, 10 + wide, 10 FROM {rooms} r JOIN {sheets} d ON r.floor_id = d.floor_id WHERE right_of_door
+  UNION ALL SELECT floor_id, 34, NULL, 10, 10 + high, 10 + wide, 10 + high FROM {sheets}
+  UNION ALL SELECT floor_id, 34, NULL, 10, 10, 10, 10 + high FROM {sheets}
+  UNION ALL SELECT floor_id, 34, NULL, 10 + wide, 10, 10 + wide, 10 + high FROM {sheets}
+  UNION ALL SELECT floor_id, 33, NULL, CAST(105 AS DOUBLE) / 10, CAST(105 AS DOUBLE) / 10, CAST(109 AS DOUBLE) / 10, CAST(109 AS DOUBLE) / 10 FROM {sheets}
+  UNION ALL SELECT floor_id, 1, 1, x + w, y + 2, x + w + 2, y + 6 FROM {rooms} WHERE left_of_door
+  UNION ALL SELECT floor_id, 7, 2, x + 2, 10, x + 6, 12 FROM {rooms} WHERE right_of_door
+  UNION ALL SELECT floor_id, object_sem, CAST(100 + ci * 10 + cj AS INT), x + w / 2 - 1, y + h / 2, x + w / 2 + 1, y + h / 2 FROM {rooms} WHERE object_sem IS NOT NULL)
+SELECT floor_id, ROW_NUMBER() OVER (PARTITION BY floor_id ORDER BY semantic_id, x1, y1, x2, y2) AS primitive_id, CAST(semantic_id AS INT) AS semantic_id, instance_id,
+  CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2 FROM s""",
     "openings": """
 SELECT o_orderkey AS instance_id, o_custkey % 100 AS floor_id,
   CAST((o_orderkey * 7) % 800 AS DOUBLE) / CAST(10 AS DOUBLE) AS x0, CAST((o_orderkey * 13) % 800 AS DOUBLE) / CAST(10 AS DOUBLE) AS y0,
@@ -87,4 +117,5 @@ def sql(body: str, *names: str) -> str:
     plain = {k: k for k in (*_TABLES, *PARTS)}
     rest = body.strip()
     ctes = ",\n".join(f"{n} AS ({PARTS[n].format(**plain).strip()})" for n in done)
-    return f"WITH {ctes}{', ' + rest[5:] if rest.upper().startswith('WITH ') else chr(10) + rest}"
+    start = next((w for w in ("WITH RECURSIVE ", "WITH ") if rest.upper().startswith(w)), "")
+    return f"{start or 'WITH '}{ctes}{', ' + rest[len(start):] if start else chr(10) + rest}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from planweave.config import PRIORITY, Classification, Hatching, Openings, Separation
+from planweave.config import Classification, Hatching, Openings, Separation
 from planweave.functions import geom as G
 
 
@@ -74,24 +74,31 @@ def instance_centroids(prims: DataFrame) -> DataFrame:
     return own.groupBy("floor_id", "object", "semantic_id").agg(mean("x").alias("x"), mean("y").alias("y"))
 
 
+def _cells(df: DataFrame, names: tuple[str, str, str, str], cell: float) -> DataFrame:
+    """A row for each grid cell (gx, gy) that a box meets; boxes only, so that no shape is copied."""
+    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
+    return df.withColumn("gx", F.explode(span(names[0], names[2]))).withColumn("gy", F.explode(span(names[1], names[3])))
+
+
 def points_in_faces(faces: DataFrame, points: DataFrame, cell: float = 16.0) -> DataFrame:
-    """points joined to the face (smallest face_id) that strictly contains them: an equi-join on grid cells, then the exact test."""
-    spread = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
-    f = faces.withColumn("gx", F.explode(spread("minx", "maxx"))).withColumn("gy", F.explode(spread("miny", "maxy")))
+    """points joined to the face (smallest face_id) that strictly contains them: boxes meet points on grid cells, then shapes are fetched for the exact test."""
+    boxes = _cells(faces.select("floor_id", "face_id", "minx", "miny", "maxx", "maxy"), ("minx", "miny", "maxx", "maxy"), cell)
     p = points.withColumn("gx", F.floor(F.col("x") / cell)).withColumn("gy", F.floor(F.col("y") / cell))
-    hit = p.join(f.select("floor_id", "gx", "gy", "face_id", "shell", "holes"), ["floor_id", "gx", "gy"])
+    near = p.join(boxes, ["floor_id", "gx", "gy"]).filter("x >= minx and x <= maxx and y >= miny and y <= maxy").select(*points.columns, "face_id")
+    hit = near.join(faces.select("floor_id", "face_id", "shell", "holes"), ["floor_id", "face_id"])
     inside = G.contains("shell", "x", "y") & ~F.exists("holes", lambda h: G.contains(h, F.col("x"), F.col("y")))
-    keys = [c for c in points.columns]
-    return hit.filter(inside).groupBy(*keys).agg(F.min("face_id").alias("face_id"))
+    return hit.filter(inside).groupBy(*points.columns).agg(F.min("face_id").alias("face_id"))
 
 
 def faces_in_boxes(faces: DataFrame, boxes: DataFrame, cell: float = 16.0) -> DataFrame:
-    """Faces of which over half lies in an opening's box: the first box, doors before windows. ``overlap`` is exact for axis-aligned faces; others pass ``clip_area``."""
-    spread = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
-    f = faces.filter("area > 0").withColumn("gx", F.explode(spread("minx", "maxx"))).withColumn("gy", F.explode(spread("miny", "maxy")))
+    """Faces of which over half lies in an opening's box: the first box, doors before windows. Boxes meet on grid cells; shapes are fetched for pairs of which one can hold half of the other."""
+    f = faces.filter("area > 0")
     b = boxes.select("floor_id", "box_id", "is_window", *(F.col(c).alias(f"b_{c}") for c in ("minx", "miny", "maxx", "maxy")))
-    b = b.withColumn("gx", F.explode(spread("b_minx", "b_maxx"))).withColumn("gy", F.explode(spread("b_miny", "b_maxy")))
-    pairs = f.join(b, ["floor_id", "gx", "gy"]).dropDuplicates(["floor_id", "face_id", "box_id"])
+    own = _cells(f.select("floor_id", "face_id", "area", "minx", "miny", "maxx", "maxy"), ("minx", "miny", "maxx", "maxy"), cell)
+    other = _cells(b, ("b_minx", "b_miny", "b_maxx", "b_maxy"), cell)
+    both = lambda lo, hi: F.greatest(F.lit(0.0), F.least(hi, f"b_{hi}") - F.greatest(lo, f"b_{lo}"))
+    near = own.join(other, ["floor_id", "gx", "gy"]).filter(both("minx", "maxx") * both("miny", "maxy") > 0.5 * F.col("area")).select("floor_id", "face_id", *b.columns[1:]).distinct()
+    pairs = near.join(f.select("floor_id", "face_id", "area", "shell", "holes"), ["floor_id", "face_id"])
     hit = pairs.filter(clip_area("shell", "b_minx", "b_miny", "b_maxx", "b_maxy") - F.aggregate("holes", F.lit(0.0), lambda a, h: a + clip_area(h, "b_minx", "b_miny", "b_maxx", "b_maxy")) > 0.5 * F.col("area"))
     w = Window.partitionBy("floor_id", "face_id").orderBy("is_window", "box_id")
     return hit.withColumn("k", F.row_number().over(w)).filter("k = 1").select("floor_id", "face_id", "box_id", "is_window")
@@ -177,11 +184,11 @@ def final_role(config: Separation = Separation()) -> Column:
     )
 
 
-def type_by_objects(semantics="contained_semantics") -> Column:
+def type_by_objects(semantics="contained_semantics", config: Classification = Classification()) -> Column:
     """Room type from the objects inside, null if there are none."""
     keys = F.map_keys(F.col(semantics))
     out = F.when(F.size(keys) == 0, None)
-    for name, ids in PRIORITY:
+    for name, ids in config.priority():
         out = out.when(F.arrays_overlap(keys, F.array(*map(F.lit, ids))), name)
     return out.when(keys.isNotNull(), "Deadzone")
 

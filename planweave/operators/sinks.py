@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +31,7 @@ def type_color(facil_type="facil_type", default: str = OPEN_FILL) -> Column:
     return F.coalesce(pairs[F.col(facil_type)], F.lit(default))
 
 
+# Fixed values in what follows: names and order of properties, colours, opacities and widths of the formats.
 def features(regions: DataFrame, levels: DataFrame, window_as: str = "Window", stable_ids: bool = False) -> DataFrame:
     """floor_id, seq and a GeoJSON feature string for each region: walls, doors, windows, then typed rooms.
 
@@ -50,19 +52,35 @@ def features(regions: DataFrame, levels: DataFrame, window_as: str = "Window", s
     return own.withColumn("rank", rank).select("floor_id", (F.row_number().over(w) - 1).cast("long").alias("seq"), F.col("kind").alias("facil_type"), feature.alias("feature"))
 
 
-def feature_collection(feats: DataFrame, name: str) -> DataFrame:
-    """One document with all features in order of floor and seq."""
+# The head of a document.
+HEAD = '{"type":"FeatureCollection","name":%s,"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:OGC:1.3:CRS84"}},"features":['
+
+
+def feature_collection(feats: DataFrame, name: str, *by: str) -> DataFrame:
+    """A document of all features in order of floor and seq, or one for each ``by`` (such as floor_id), which many floors need: one document is one row."""
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("floor_id", "seq", "feature"))), lambda f: f["feature"]), ",")
-    head = '{"type":"FeatureCollection","name":"%s","crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:OGC:1.3:CRS84"}},"features":[' % name
-    return feats.agg(F.concat(F.lit(head), body, F.lit("]}")).alias("document"))
+    return feats.groupBy(*by).agg(F.concat(F.lit(HEAD % json.dumps(name, ensure_ascii=False)), body, F.lit("]}")).alias("document"))
 
 
-def write_geojson(feats: DataFrame, path: str, name: str) -> None:
-    """The one document of an export, indented, folders made; a document is what a viewer opens, so the driver writes it."""
-    import json
+def no_features(spark) -> DataFrame:
+    return spark.createDataFrame([], "floor_id long, seq long, facil_type string, feature string")
 
+
+def write_geojson(feats: DataFrame, path: str, name: str) -> None:
+    """The one document of an export, a feature on each line, folders made. The driver writes it from one partition at a time, in order of floor and seq."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(json.loads(feature_collection(feats, name).first().document), ensure_ascii=False, indent=2), encoding="utf-8")
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(HEAD % json.dumps(name, ensure_ascii=False))
+        mark = "\n"
+        for row in feats.select("floor_id", "seq", "feature").orderBy("floor_id", "seq").toLocalIterator():
+            out.write(mark + row.feature)
+            mark = ",\n"
+        out.write("\n]}\n")
+
+
+def write_lines(feats: DataFrame, path: str) -> None:
+    """Line-delimited features in shards, written by the executors, for exports of any size."""
+    feats.select("feature").write.text(path)
 
 
 def svg_elements(regions: DataFrame) -> DataFrame:

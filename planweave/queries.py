@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from planweave import fixtures
 from planweave.functions import geom as G
-from planweave.operators import floors, sinks
+from planweave.operators import floors, sinks, stats
 from planweave.operators import relational as R
 from planweave.sources import svg
 from planweave.storage import spread
@@ -22,8 +22,8 @@ SQL: dict[str, str] = {}
 CANVAS = 140.0
 
 
-def query(name: str, *tables: str, sql: str | None = None):
-    """Registers a function of (spark, *derived tables)."""
+def query(name: str, *tables: str, sql: str | None = None, of: tuple[str, ...] | None = None):
+    """Registers a function of (spark, *derived tables), with SQL over the same tables, or over those named by ``of``."""
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def query(name: str, *tables: str, sql: str | None = None):
 
         QUERIES[name] = run
         if sql:
-            SQL[name] = fixtures.sql(sql, *tables)
+            SQL[name] = fixtures.sql(sql, *(of or tables))
         return f
 
     return add
@@ -48,14 +48,14 @@ def lined(prims: DataFrame) -> DataFrame:
     return prims.withColumn("pts", G.line("x1", "y1", "x2", "y2")).withColumn("ord", F.col("primitive_id")).withColumn("kind", F.lit("line")).withColumn("original_type", F.lit("segment")).withColumn("stroke", F.lit("")).withColumn("role", svg.role())
 
 
-def svg_documents_of(prims: DataFrame, box: str = "0 0 140 140") -> DataFrame:
-    """Derived segments of each floor as one SVG text."""
+def svg_documents_of(prims: DataFrame, box=None) -> DataFrame:
+    """Derived segments of each floor as one SVG text; ``box``: an expression of its view box."""
     attr = lambda n, c: F.when(c.isNotNull(), F.concat(F.lit(f' {n}="'), c.cast("string"), F.lit('"'))).otherwise("")
     d = F.format_string("M %.1f,%.1f L %.1f,%.1f", "x1", "y1", "x2", "y2")
     element = F.concat(F.lit("<path"), attr("primitiveId", F.col("primitive_id")), attr("semanticId", F.col("semantic_id")), attr("instanceId", F.col("instance_id")), F.lit(' originalType="segment" d="'), d, F.lit('"/>'))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("primitive_id", element.alias("e")))), lambda s: s["e"]), "")
     prims = spread(prims, "floor_id")
-    return prims.groupBy("floor_id").agg(F.concat(F.lit(f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="{box}">'), body, F.lit("</svg>")).alias("content"))
+    return prims.groupBy("floor_id").agg(F.concat(F.lit('<svg xmlns="http://www.w3.org/2000/svg" viewBox="'), F.lit("0 0 140 140") if box is None else F.first(box), F.lit('">'), body, F.lit("</svg>")).alias("content"))
 
 
 _M = lambda e, n, by=1000: f"CAST(ROUND(({e}) * {by}) AS BIGINT) AS {n}"
@@ -100,8 +100,8 @@ def src4(spark, prims):
     kind = F.element_at(F.array(F.lit("segment"), F.lit("arc"), F.lit("spline")), (F.col("primitive_id") % 3 + 1).cast("int"))
     d = F.when(F.col("primitive_id") % 3 == 1, "M 0,0 A 5,5 0 0,1 10,0").otherwise("M 0,0 L 10,0")
     none = {c: F.lit(None).cast("string") for c in ("cx", "cy", "r", "rx", "ry")}
-    e = prims.withColumns({"tag": F.lit("path"), "original_type": kind, "d": d, **none})
-    return e.select("floor_id", "primitive_id", F.when(svg.geometry().isNotNull(), F.size(svg.geometry())).alias("n_points"))
+    e = svg.with_points(prims.withColumns({"tag": F.lit("path"), "original_type": kind, "d": d, **none}))
+    return e.select("floor_id", "primitive_id", F.when(F.col("pts").isNotNull(), F.size("pts")).alias("n_points"))
 
 
 @query("src5_segment_parse", "prims", sql=f"SELECT floor_id, primitive_id, {_M('x1', 'x1')}, {_M('y1', 'y1')}, {_M('x2', 'x2')}, {_M('y2', 'y2')} FROM prims")
@@ -109,7 +109,7 @@ def src5(spark, prims):
     d = F.concat_ws(" ", F.lit("M"), F.format_string("%.2e", "x1"), F.format_string("%.2e", "y1"), F.lit("L"), F.format_string("%.1f,%.1f", "x2", "y2"), F.lit("L 1,1"))
     none = {c: F.lit(None).cast("string") for c in ("cx", "cy", "r", "rx", "ry")}
     d = F.when(F.col("x1") < 1e4, F.concat_ws(" ", F.lit("M"), F.format_string("%.4e", "x1"), F.format_string("%.4e", "y1"), F.lit("L"), F.format_string("%.1f,%.1f", "x2", "y2"), F.lit("L 1,1"))).otherwise(d)
-    e = prims.withColumns({"tag": F.lit("path"), "original_type": F.lit("segment"), "d": d, **none}).withColumn("pts", svg.geometry())
+    e = svg.with_points(prims.withColumns({"tag": F.lit("path"), "original_type": F.lit("segment"), "d": d, **none}))
     return e.select("floor_id", "primitive_id", *(milli(F.col("pts")[i][k], f"{k}{i + 1}") for i in (0, 1) for k in "xy"))
 
 
@@ -151,8 +151,8 @@ SELECT instance_id, {_M('32 * w * h * SIN(PI() / 32)', 'area', 100)} FROM openin
 """)
 def src9(spark, openings):
     none = {c: F.lit(None).cast("string") for c in ("d", "r", "original_type")}
-    e = openings.withColumns({"tag": F.lit("ellipse"), "cx": F.col("x0").cast("string"), "cy": F.col("y0").cast("string"), "rx": F.col("w").cast("string"), "ry": F.col("h").cast("string"), **none}).withColumn("p", svg.geometry())
-    return e.filter("p is not null").select("instance_id", milli(G.area("p"), "area", 100))
+    e = openings.withColumns({"tag": F.lit("ellipse"), "cx": F.col("x0").cast("string"), "cy": F.col("y0").cast("string"), "rx": F.col("w").cast("string"), "ry": F.col("h").cast("string"), **none})
+    return svg.with_points(e).filter("pts is not null").select("instance_id", milli(G.area("pts"), "area", 100))
 
 
 @query("src13_input_spec", "names", sql="SELECT floor_id, file_name AS path, CASE WHEN floor_id % 2 = 0 THEN CAST(floor_id AS VARCHAR) END AS level FROM names")
@@ -183,17 +183,14 @@ def prj3(spark, prims):
     return p.select("floor_id", "primitive_id", *(milli(F.col("pts")[i][k], f"{k}{i + 1}") for i in (0, 1) for k in "xy"))
 
 
-@query("prj4_canvas_edges", "dims", sql="""
-SELECT floor_id, CAST(1000000 + k AS BIGINT) AS primitive_id, 'boundary' AS original_type, CAST(CASE WHEN k IN (0, 2) THEN w ELSE h END * 1000 AS BIGINT) AS length FROM dims CROSS JOIN (SELECT i AS k FROM steps WHERE i < 4)
-""".replace("FROM dims", "FROM dims"))
+@query("prj4_canvas_edges", "dims", of=("dims", "steps"), sql="""
+SELECT floor_id, CAST(1000000 + k AS BIGINT) AS primitive_id, 'boundary' AS original_type, CAST(CASE WHEN k IN (0, 2) THEN w ELSE h END * 1000 AS BIGINT) AS length FROM dims CROSS JOIN (SELECT i AS k FROM steps WHERE i < 4) q
+""")
 def prj4(spark, dims):
     e = svg.canvas_edges(dims.withColumn("vb", F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.col("w").cast("double").alias("w"), F.col("h").cast("double").alias("h"))))
     return e.select("floor_id", "primitive_id", "original_type", milli(G.length("pts"), "length"))
 
 
-SQL["prj4_canvas_edges"] = fixtures.sql("SELECT floor_id, CAST(1000000 + k AS BIGINT) AS primitive_id, 'boundary' AS original_type, CAST(CASE WHEN k IN (0, 2) THEN w ELSE h END * 1000 AS BIGINT) AS length FROM dims CROSS JOIN (SELECT i AS k FROM steps WHERE i < 4) q", "dims", "steps")
-
-
 @query("prj5_roles", "prims", sql=f"SELECT {_ROLE} AS role, CAST(COUNT(*) AS BIGINT) AS n FROM prims GROUP BY 1")
 def prj5(spark, prims):
     return lined(prims).groupBy("role").agg(F.count("*").alias("n"))
@@ -324,14 +321,25 @@ def agg4(spark, openings):
     return h.select("floor_id", "instance_id", milli("hinge.x", "x"), milli("hinge.y", "y"))
 
 
-@query("agg5_percentiles", "thick", sql=f"SELECT floor_id, {_M('QUANTILE_CONT(thickness, 0.1)', 'p10')}, {_M('QUANTILE_CONT(thickness, 0.5)', 'p50')}, {_M('QUANTILE_CONT(thickness, 0.9)', 'p90')} FROM thick GROUP BY floor_id")
+@query("agg5_percentiles", "thick", sql=f"SELECT floor_id, {_M('QUANTILE_CONT(thickness, 0.1)', 'p10')}, {_M('QUANTILE_CONT(thickness, 0.5)', 'p50')}, {_M('QUANTILE_CONT(thickness, 0.9)', 'p90')} FROM thick WHERE face_id % 7 <> 0 GROUP BY floor_id")
 def agg5(spark, thick):
-    return thick.groupBy("floor_id").agg(*(milli(F.percentile("thickness", p / 100), f"p{p}") for p in (10, 50, 90)))
-
-
-@query("agg6_synth_radius", "thick", sql=f"SELECT floor_id, {_M('COALESCE(MEDIAN(CASE WHEN hatched THEN thickness END) * 0.2, 0.5)', 'radius')} FROM thick GROUP BY floor_id")
-def agg6(spark, thick):
-    return thick.groupBy("floor_id").agg(milli(F.coalesce(F.median(F.when(F.col("hatched"), F.col("thickness"))) * 0.2, F.lit(0.5)), "radius"))
+    """Faces that weren't measured don't count."""
+    p = stats.percentiles(thick.withColumn("thickness", F.when(F.col("face_id") % 7 != 0, F.col("thickness"))))
+    return p.select("floor_id", *(milli(f"thickness_p{k}", f"p{k}") for k in (10, 50, 90)))
+
+
+@query("agg6_synth_radius", "dims", sql=f"SELECT floor_id, {_M('CASE WHEN floor_id % 5 = 0 THEN 0.5 ELSE (3 + floor_id % 3) * 0.2 END', 'radius')} FROM dims")
+def agg6(spark, dims):
+    """Half the width that a stroke between two rooms is given: a fifth of the median of three walls' thicknesses, or the default where there are none."""
+    h, t = F.col("h").cast("double"), (3 + F.col("floor_id") % 3).cast("double")
+    face = lambda i, role, x, y, w, h: F.struct(F.lit(i).cast("long").alias("face_id"), F.lit(role).alias("role"), G.box(x, y, x + w, y + h).alias("shell"))
+    at = lambda x: F.lit(float(x))
+    rooms = [face(0, "room", at(0), at(0), at(10), h), face(1, "room", at(10), at(0), at(10), h)]
+    walls = [face(2, "wall", at(40), at(0), at(2), at(50)), face(3, "wall", at(60), at(0), t, at(50)), face(4, "wall", at(80), at(0), at(8), at(50))]
+    shapes = dims.withColumn("t", t).select("floor_id", F.explode(F.when(F.col("floor_id") % 5 == 0, F.array(*rooms)).otherwise(F.array(*rooms, *walls))).alias("f")).select("floor_id", "f.*")
+    shapes = shapes.withColumn("facil_type", F.lit("Office")).withColumn("holes", F.array().cast(f"array<{G.POINTS}>"))
+    w = floors.walls_and_outline(shapes, dims.select("floor_id", G.line(at(10), at(0), at(10), h).alias("pts"))).filter("role = 'wall' and members[0] < 0")
+    return w.join(dims.select("floor_id", "h"), "floor_id").select("floor_id", milli(F.col("area") / (2 * F.col("h")), "radius"))
 
 
 @query("agg8_otsu", "thick", sql=f"""

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planweave import fixtures
+from planweave.config import OPEN_EDGE, OPEN_FILL, TYPE_COLORS
 from planweave.functions import geom as G
-from planweave.operators import floors, sinks
+from planweave.operators import floors, sinks, stats
 from planweave.operators import relational as R
 from planweave.plans import pipeline
 from planweave.queries import _M, _TYPE, SQL, lined, milli, opening_lines, query, rooms_of, svg_documents_of
@@ -38,15 +38,12 @@ def geo1(spark, dims):
     return e.groupBy("floor_id").agg(F.count("*").alias("edges"), milli(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), "length"))
 
 
-@query("geo2_polygonize", "grid_edges", sql=None)
+@query("geo2_polygonize", "grid_edges", of=("cells",), sql=f"SELECT floor_id, {_M('minx', 'minx')}, {_M('miny', 'miny')}, {_M('maxx', 'maxx')}, {_M('maxy', 'maxy')}, {_M('area', 'area')} FROM cells")
 def geo2(spark, grid):
     f = floors.faces(floors.node_edges(grid)).filter("kind = 'face'")
     return f.select("floor_id", milli("minx", "minx"), milli("miny", "miny"), milli("maxx", "maxx"), milli("maxy", "maxy"), milli("area", "area"))
 
 
-SQL["geo2_polygonize"] = fixtures.sql(f"SELECT floor_id, {_M('minx', 'minx')}, {_M('miny', 'miny')}, {_M('maxx', 'maxx')}, {_M('maxy', 'maxy')}, {_M('area', 'area')} FROM cells", "cells")
-
-
 @query("geo2_dangles", "grid_edges", "dims", sql=f"SELECT floor_id, CAST(nc * nr AS BIGINT) AS faces, CAST(1 AS BIGINT) AS dangles, {_M('w / 4.0', 'dangle_length')} FROM dims")
 def geo2_dangles(spark, grid, dims):
     f = floors.faces(floors.node_edges(overhang(grid, dims)))
@@ -86,9 +83,6 @@ def geo3(spark, openings):
     return floors.components_of_pairs(e, p)
 
 
-SQL["geo3_components"] = SQL["geo3_components"].replace("WITH openings", "WITH RECURSIVE openings", 1).replace(", RECURSIVE e", ", e")
-
-
 @query("geo4_snap_endpoints", "grid_edges", "dims", sql=f"SELECT floor_id, CAST(nc * nr AS BIGINT) AS faces, {_M('nc * w * nr * h', 'area', 1)} FROM dims")
 def geo4(spark, grid, dims):
     """One end of each edge at the first cell's inner corner is moved by 0.05, so that cells close only after snapping."""
@@ -107,12 +101,15 @@ def jn4(spark, openings):
     return R.close_endpoints(openings.select("floor_id", F.col("instance_id").alias("i"), F.col("x0").alias("x"), F.col("y0").alias("y")), 2.55)
 
 
-@query("agg9_snap_groups", "openings", sql=f"""
-WITH e AS (SELECT floor_id, instance_id % 50 AS g, x0, y0 FROM openings)
-SELECT floor_id, g, {_M('AVG(x0)', 'x', 100)}, {_M('AVG(y0)', 'y', 100)} FROM e GROUP BY 1, 2
-""")
+@query("agg9_snap_groups", "openings", sql=f"SELECT floor_id, instance_id, {_M('10 * instance_id + 0.03', 'x')}, {_M('y0 + 0.01', 'y')}, CAST(1 AS BIGINT) AS places, CAST(3 AS BIGINT) AS kept FROM openings")
 def agg9(spark, openings):
-    return openings.groupBy("floor_id", (F.col("instance_id") % 50).alias("g")).agg(milli(F.avg("x0"), "x", 100), milli(F.avg("y0"), "y", 100))
+    """Three ends in a chain of 0.03 and 0.06 move to their mean; the other ends stay."""
+    x, y = F.col("instance_id") * 10.0, F.col("y0")
+    lines = F.array(*(F.struct(F.lit(k).alias("k"), G.line(x + 0.03 * k, y + dy, x + 2.0 + k, y + 3.0).alias("pts")) for k, dy in enumerate((0.0, 0.02, 0.01))))
+    e = openings.select("floor_id", "instance_id", F.explode(lines).alias("l")).select("floor_id", "instance_id", (F.col("instance_id") * 3 + F.col("l.k")).cast("long").alias("line_id"), "l.*")
+    moved = floors.snap_ends(e.select("floor_id", "line_id", "pts"), 0.05).join(e.select("floor_id", "line_id", "instance_id", F.col("pts").alias("old")), ["floor_id", "line_id"])
+    p = F.col("pts")[0]
+    return moved.groupBy("floor_id", "instance_id").agg(milli(F.avg(p["x"]), "x"), milli(F.avg(p["y"]), "y"), F.count_distinct(p).alias("places"), F.count_if(F.col("pts")[1] == F.col("old")[1]).alias("kept"))
 
 
 @query("geo5_dissolve", "cells", sql=f"SELECT floor_id, CAST(1 AS BIGINT) AS pieces, {_M('SUM(area)', 'area')}, CAST(COUNT(*) AS BIGINT) AS members FROM cells GROUP BY floor_id")
@@ -132,16 +129,13 @@ def geo15(spark, cells):
     return w.groupBy("floor_id").agg(F.count("*").alias("pieces"), milli(F.sum("area"), "area"), F.max(F.size("members")).cast("long").alias("members"))
 
 
-@query("win6_outline", "dims", "cells", sql=f"SELECT d.floor_id, {_M('nc * w * nr * h', 'area')} FROM dims d")
+@query("win6_outline", "dims", "cells", of=("dims",), sql=f"SELECT floor_id, {_M('nc * w * nr * h', 'area')} FROM dims")
 def win6(spark, dims, cells):
     f = grid_faces(cells).withColumn("role", F.when((F.col("ci") + F.col("cj")) % 2 == 0, "wall").otherwise("room"))
     w = floors.walls_and_outline(f, f.select("floor_id", G.line("minx", "miny", "minx", "miny").alias("pts")).filter("false"))
     return w.filter("role = 'outline'").select("floor_id", milli("area", "area"))
 
 
-SQL["win6_outline"] = fixtures.sql(f"SELECT floor_id, {_M('nc * w * nr * h', 'area')} FROM dims", "dims")
-
-
 @query("geo6_clip", "openings", sql=f"""
 SELECT floor_id, instance_id, {_M('GREATEST(LEAST(x0 + w, 40) - GREATEST(x0, 20), 0) * GREATEST(LEAST(y0 + w, 60) - GREATEST(y0, 10), 0)', 'area')} FROM openings
 """)
@@ -164,16 +158,24 @@ def geo18(spark, cells):
 
 
 @query("geo11_geo12_geo13_window_split", "openings", sql="""
-SELECT floor_id, instance_id, CAST(CASE WHEN w >= 60 THEN 2 ELSE 2 END AS BIGINT) AS parts, CAST(8 AS BIGINT) AS segments FROM openings
+SELECT floor_id, instance_id, CAST(CASE instance_id % 4 WHEN 0 THEN 2 ELSE 1 END AS BIGINT) AS parts, CAST(CASE instance_id % 4 WHEN 2 THEN 4 ELSE 9 END AS BIGINT) AS lines,
+  CAST(CASE instance_id % 4 WHEN 0 THEN CASE WHEN instance_id % 8 = 0 THEN 4 ELSE 5 END WHEN 2 THEN 4 ELSE 9 END AS BIGINT) AS with_first FROM openings
 """)
 def geo13(spark, openings):
-    """An L of two long legs, drawn with four strokes each, falls into its legs."""
-    x, y, s = F.col("x0"), F.col("y0"), F.lit(1.0)
-    horizontal = [G.line(x + 30.0 + i, y, x + 60.0 + i, y + 0.5 * s) for i in range(4)]
-    vertical = [G.line(x, y + 30.0 + i, x + 0.5 * s, y + 60.0 + i) for i in range(4)]
-    seg = openings.select("floor_id", "instance_id", F.posexplode(F.array(*horizontal, *vertical)).alias("ord", "pts")).withColumn("ord", F.col("ord").cast("long"))
-    p = floors.split_openings(seg)
-    return p.groupBy("floor_id", "instance_id").agg(F.count_distinct("part").alias("parts"), F.count("*").alias("segments"))
+    """Lines of an L of two legs with four strokes each, whose arc goes to the nearer leg; of a rectangle; of three strokes; and of one stroke far from the rest: only the first has parts."""
+    x, y = F.col("x0"), F.col("y0")
+    stroke = lambda x1, y1, x2, y2: F.struct(F.lit("segment").alias("original_type"), G.line(x + float(x1), y + float(y1), x + float(x2), y + float(y2)).alias("pts"))
+    far = F.when(F.col("instance_id") % 8 == 0, 0.0).otherwise(50.0)
+    arc = F.struct(F.lit("arc").alias("original_type"), F.array(G.point(x + far, y + 50.0 - far), G.point(x + far + 2.0, y + 50.0 - far), G.point(x + far + 2.0, y + 52.0 - far)).alias("pts"))
+    legs = [stroke(30 + i, 0, 60 + i, 0.5) for i in range(4)] + [stroke(0, 30 + i, 0.5, 60 + i) for i in range(4)]
+    box = [stroke(0, i, 40, i) for i in range(4)] + [stroke(0, 20 + i, 40, 20 + i) for i in range(4)]
+    lone = [stroke(0, 30 + i, 0.5, 60 + i) for i in range(7)] + [stroke(60, 0, 63, 0.5)]
+    kinds = [F.array(*legs, arc), F.array(*box, arc), F.array(*legs[:3], arc), F.array(*lone, arc)]
+    shape = F.element_at(F.array(*kinds), (F.col("instance_id") % 4 + 1).cast("int"))
+    lines = openings.select("floor_id", "instance_id", F.posexplode(shape).alias("ord", "l")).select("floor_id", "instance_id", F.col("ord").cast("long").alias("ord"), "l.*")
+    p = floors.split_openings(lines)
+    first = F.min_by("part", "ord")
+    return p.groupBy("floor_id", "instance_id").agg(F.count_distinct("part").alias("parts"), F.count("*").alias("lines"), F.array_sort(F.collect_list("part")).alias("all"), first.alias("first")).select("floor_id", "instance_id", "parts", "lines", F.size(F.filter("all", lambda k: k == F.col("first"))).cast("long").alias("with_first"))
 
 
 @query("jn1_faces_in_boxes", "cells", sql="""
@@ -231,41 +233,59 @@ def prj14(spark, openings):
     return e.groupBy("floor_id", "instance_id").agg(F.count("*").alias("edges"), milli(F.sum(G.length("pts")), "length"))
 
 
-@query("geo10_flat_buffer_geo14_thin_walls", "dims", sql=f"SELECT floor_id, CAST(1 AS BIGINT) AS walls, {_M('h * 1.0', 'area')} FROM dims")
+@query("jn8_geo10_geo14_thin_walls", "dims", sql=f"""
+SELECT floor_id, CAST(1 AS BIGINT) AS strokes, CAST(0 AS BIGINT) AS walls, {_M('1.2 * h', 'area')} FROM dims UNION ALL
+SELECT floor_id, CAST(2 AS BIGINT), CAST(3 AS BIGINT), {_M('9 * h + 60 * 1.2 + 5 * 1.2', 'area')} FROM dims
+""")
 def geo14(spark, dims):
-    """Two rooms side by side, parted by one stroke: a wall of the default radius on both sides, none beside a dangling stroke."""
+    """Strokes beside walls 3 thick: one between two rooms; one from wall to wall with its middle in a third; one half in a wall; one in a wall, one far off and one with a bend in a wall, which give nothing."""
     w, h = F.col("w").cast("double"), F.col("h").cast("double")
-    rooms = dims.select("floor_id", F.explode(F.array(F.struct(F.lit(0).alias("k"), G.box(F.lit(0.0), F.lit(0.0), w, h).alias("shell")), F.struct(F.lit(1).alias("k"), G.box(w, F.lit(0.0), w * 2, h).alias("shell")))).alias("s"))
-    f = rooms.select("floor_id", F.col("s.k").cast("long").alias("face_id"), F.lit("room").alias("role"), F.lit("Office").alias("facil_type"), "s.shell", F.array().cast(NO_HOLES).alias("holes"))
-    lines = dims.select("floor_id", F.explode(F.array(G.line(w, F.lit(0.0), w, h), G.line(w * 3, F.lit(0.0), w * 3, h))).alias("pts"))
-    r = floors.walls_and_outline(f, lines).filter("role = 'wall'")
-    return r.groupBy("floor_id").agg(F.count("*").alias("walls"), milli(F.sum("area"), "area"))
-
-
-SQL["geo10_flat_buffer_geo14_thin_walls"] = fixtures.sql(f"SELECT floor_id, CAST(1 AS BIGINT) AS walls, {_M('h * 2 * 0.5', 'area')} FROM dims", "dims")
+    at = lambda v: F.lit(float(v))
+    face = lambda i, role, x1, x2: F.struct(F.lit(i).cast("long").alias("face_id"), F.lit(role).alias("role"), G.box(x1, at(0), x2, h).alias("shell"))
+    first = 2 * w
+    shapes = dims.select("floor_id", F.explode(F.array(face(0, "room", at(0), w), face(1, "room", w, first), face(2, "wall", first, first + 3), face(3, "wall", first + 33, first + 36), face(4, "wall", first + 66, first + 69))).alias("s"))
+    f = shapes.select("floor_id", "s.*", F.lit("Office").alias("facil_type"), F.array().cast(NO_HOLES).alias("holes"))
+    inside = first + 1.5
+    strokes = [
+        G.line(w, at(0), w, h), G.line(first + 1, at(2), first + 68, at(2)), G.line(inside, h / 2, inside, h + 5), G.line(inside, at(1), inside, h - 1), G.line(first + 200, at(0), first + 200, h),
+        F.array(G.point(first + 1, at(1)), G.point(first + 2, at(3)), G.point(first + 1, at(5))),
+    ]
+    r = floors.walls_and_outline(f, dims.select("floor_id", F.explode(F.array(*strokes)).alias("pts"))).filter("role = 'wall'")
+    return r.select("floor_id", F.size(F.filter("members", lambda m: m < 0)).cast("long").alias("strokes"), F.size(F.filter("members", lambda m: m >= 0)).cast("long").alias("walls"), milli("area", "area"))
 
 
 def door_plan(dims: DataFrame) -> DataFrame:
-    """A room, a wall above it, and a door of 4 by 3 between, with its hinge on the wall's side."""
+    """A room, a wall 3 thick on one of its sides by floor_id % 4 (above, below, left, right), and a door of 4 by 3 in it; by floor_id / 4 % 4 with its hinge beyond the door's middle, before it, without a hinge, or without an arc."""
     w, h = F.col("w").cast("double"), F.col("h").cast("double")
+    side, how = F.col("floor_id") % 4, F.floor(F.col("floor_id") / 4) % 4
+    # Along the wall (u) and away from the room (v): boxes and points of the wall above the room, turned to the other sides.
+    turn = lambda u, v: F.when(side == 0, G.point(u, h + v)).when(side == 1, G.point(u, -v)).when(side == 2, G.point(-v, u)).otherwise(G.point(w + v, u))
+    ring = lambda u1, u2: F.array(*(turn(F.lit(u) if isinstance(u, float) else u, F.lit(v)) for u, v in ((u1, 0.0), (u2, 0.0), (u2, 3.0), (u1, 3.0), (u1, 0.0))))
     none, no = F.array().cast(NO_HOLES), F.lit(None).cast("struct<x:double,y:double>")
-    region = lambda i, role, kind, arc, hinge, shell: F.struct(F.lit(i).cast("long").alias("region_id"), F.lit(role).alias("role"), F.lit(kind).alias("facil_type"), F.array(F.lit(i).cast("long")).alias("members"), F.lit(arc).alias("has_arc"), hinge.alias("hinge"), shell.alias("shell"), none.alias("holes"))
+    region = lambda i, role, kind, arc, hinge, shell: F.struct(F.lit(i).cast("long").alias("region_id"), F.lit(role).alias("role"), F.lit(kind).alias("facil_type"), F.array(F.lit(i).cast("long")).alias("members"), arc.alias("has_arc"), hinge.alias("hinge"), shell.alias("shell"), none.alias("holes"))
+    hinge = F.when(how == 0, turn(F.lit(2.0), F.lit(3.0))).when(how == 1, turn(F.lit(2.0), F.lit(0.0))).otherwise(no)
     parts = [
-        region(0, "room", "Office", False, no, G.box(F.lit(0.0), F.lit(0.0), w, h)),
-        region(1, "wall", "Wall", False, no, G.box(F.lit(0.0), h, w, h + 3)),
-        region(2, "door", "Door", True, G.point(F.lit(2.0), h + 3), G.box(F.lit(2.0), h, F.lit(6.0), h + 3)),
+        region(0, "room", "Office", F.lit(False), no, G.box(F.lit(0.0), F.lit(0.0), w, h)),
+        region(1, "wall", "Wall", F.lit(False), no, ring(0.0, F.when(side < 2, w).otherwise(h))),
+        region(2, "door", "Door", how < 3, hinge, ring(2.0, 6.0)),
     ]
     return dims.select("floor_id", F.explode(F.array(*parts)).alias("r")).select("floor_id", "r.*")
 
 
+_SIDE, _HOW = "floor_id % 4", "(floor_id // 4) % 4"
+
+
 @query("geo16_geo17_jn7_absorb_doors", "dims", sql=f"""
-SELECT floor_id, 'room' AS role, CAST(1 AS BIGINT) AS pieces, {_M('w * h + 9', 'area')} FROM dims UNION ALL
-SELECT floor_id, 'door', CAST(1 AS BIGINT), {_M('3', 'area')} FROM dims UNION ALL
-SELECT floor_id, 'wall', CAST(2 AS BIGINT), {_M('3 * w - 12', 'area')} FROM dims
+WITH d AS (SELECT floor_id, w, h, {_SIDE} AS side, {_HOW} AS how, CASE WHEN {_SIDE} < 2 THEN w ELSE h END AS along FROM dims),
+v AS (SELECT *, CASE how WHEN 1 THEN 0.375 WHEN 3 THEN 1.5 ELSE 2.625 END AS v FROM d)
+SELECT floor_id, 'room' AS role, CAST(CASE how WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS pieces, {_M('w * h + CASE how WHEN 3 THEN 0 ELSE 9 END', 'area')}, CAST(NULL AS BIGINT) AS x, CAST(NULL AS BIGINT) AS y FROM d UNION ALL
+SELECT floor_id, 'door', CAST(1 AS BIGINT), {_M('CASE how WHEN 3 THEN 12 ELSE 3 END', 'area')}, {_M('CASE side WHEN 2 THEN -v WHEN 3 THEN w + v ELSE 4 END', 'x')}, {_M('CASE side WHEN 0 THEN h + v WHEN 1 THEN -v ELSE 4 END', 'y')} FROM v UNION ALL
+SELECT floor_id, 'wall', CAST(2 AS BIGINT), {_M('3 * along - 12', 'area')}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM d
 """)
 def geo17(spark, dims):
-    a = floors.absorb_doors(door_plan(dims))
-    return a.groupBy("floor_id", "role").agg(F.count("*").alias("pieces"), milli(F.sum("area"), "area"))
+    """Pieces and areas by role, and the middle of what is left of the door."""
+    a = floors.absorb_doors(door_plan(dims)).withColumn("c", F.when(F.col("role") == "door", G.ring_centroid("shell")))
+    return a.groupBy("floor_id", "role").agg(F.count("*").alias("pieces"), milli(F.sum("area"), "area"), milli(F.avg("c.x"), "x"), milli(F.avg("c.y"), "y"))
 
 
 @query("snk3_features", "cells", sql=f"""
@@ -297,13 +317,21 @@ def snk1(spark, cells):
     return d.select(F.size(F.from_json(g("$.features"), "array<string>")).cast("long").alias("features"), g("$.type").alias("kind"), g("$.name").alias("name"), g("$.crs.properties.name").alias("crs"))
 
 
-@query("snk4_svg_documents", "cells", sql="""
-SELECT floor_id, CAST(COUNT(*) AS BIGINT) AS paths, printf('viewBox="0.000 0.000 %.3f %.3f"', MAX(maxx), MAX(maxy)) AS view_box FROM cells GROUP BY floor_id
+_COLOR = f"CASE facil_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPE_COLORS.items())} ELSE '{OPEN_FILL}' END"
+
+
+@query("snk4_svg_documents", "cells", sql=f"""
+WITH t AS (SELECT *, {_TYPE} AS facil_type FROM cells),
+p AS (SELECT floor_id, ci, cj, minx, miny, maxx, maxy, {_COLOR} AS color, {_COLOR} <> '{OPEN_FILL}' AS typed FROM t),
+e AS (SELECT floor_id, ci, cj, maxx, maxy, printf('  <path d="M %.3f %.3f L %.3f %.3f L %.3f %.3f L %.3f %.3f L %.3f %.3f Z" fill="%s" fill-opacity="%s" stroke="%s" stroke-width="0.40"/>',
+  minx, miny, maxx, miny, maxx, maxy, minx, maxy, minx, miny, color, CASE WHEN typed THEN '0.65' ELSE '0.50' END, CASE WHEN typed THEN color ELSE '{OPEN_EDGE}' END) AS e FROM p)
+SELECT floor_id, md5(printf('<?xml version="1.0" encoding="UTF-8"?>%s<svg xmlns="http://www.w3.org/2000/svg" viewBox="0.000 0.000 %.3f %.3f">%s<g transform="scale(1 -1) translate(0 %.3f)" fill-rule="evenodd">%s%s%s</g>%s</svg>',
+  chr(10), MAX(maxx), MAX(maxy), chr(10), -MAX(maxy), chr(10), string_agg(e, chr(10) ORDER BY ci * 100 + cj), chr(10), chr(10))) AS svg FROM e GROUP BY floor_id
 """)
 def snk4(spark, cells):
+    """Whole drawings, by their digest."""
     b = cells.groupBy("floor_id").agg(*(f(c).alias(c) for f, c in ((F.min, "minx"), (F.min, "miny"), (F.max, "maxx"), (F.max, "maxy"))))
-    d = sinks.svg_documents(rooms_of(cells), b)
-    return d.select("floor_id", F.regexp_count("svg", F.lit("<path ")).cast("long").alias("paths"), F.regexp_extract("svg", r'(viewBox="[^"]*")', 1).alias("view_box"))
+    return sinks.svg_documents(rooms_of(cells), b).select("floor_id", F.md5(F.col("svg").cast("binary")).alias("svg"))
 
 
 def geojson_of(cells: DataFrame) -> DataFrame:
@@ -338,15 +366,26 @@ def shapes_of(dims: DataFrame) -> DataFrame:
     return dims.select(F.col("floor_id").alias("doc_id"), body.alias("content"))
 
 
-@query("src11_generic_svg", "dims", "steps", sql="""
-WITH k(seq, kind, n) AS (VALUES (0, 'LineString', 2), (1, 'LineString', 3), (2, 'Polygon', 4), (3, 'Polygon', 5), (4, 'Polygon', 65), (5, 'Polygon', 65), (7, 'Polygon', 4), (8, NULL, NULL))
+@query("src11_generic_svg", "dims", sql="""
+WITH k(seq, kind, n) AS (VALUES (0, 'LineString', 2), (1, 'LineString', 3), (2, 'Polygon', 4), (3, 'Polygon', 5), (4, 'Polygon', 65), (5, 'Polygon', 65), (6, 'LineString', 9), (7, 'Polygon', 4), (8, NULL, NULL))
 SELECT floor_id AS doc_id, CAST(seq AS BIGINT) AS seq, kind, CAST(n AS BIGINT) AS n, kind IS NULL AS failed FROM dims CROSS JOIN k
 """)
-def src11(spark, dims, steps):
-    s = generic.read_shapes(shapes_of(dims)).filter("seq <> 6")
+def src11(spark, dims):
+    s = generic.read_shapes(shapes_of(dims))
     return s.select("doc_id", "seq", "kind", F.when(F.col("points").isNotNull(), F.size("points").cast("long")).alias("n"), F.col("error").isNotNull().alias("failed"))
 
 
+@query("prj17_curve_points", "dims", of=("dims", "steps"), sql=f"""
+WITH t AS (SELECT floor_id, w, h, i + 1 AS i, (i + 1) / 7.0 AS t FROM dims CROSS JOIN steps)
+SELECT floor_id AS doc_id, CAST(i AS BIGINT) AS i, {_M('(1 - t) * (1 - t) * (1 - t) * w + 60 * (1 - t) * t', 'x')}, {_M('3 * (1 - t) * t * t * h + 9 * t * t * t', 'y')} FROM t
+UNION ALL SELECT floor_id, CAST(0 AS BIGINT), {_M('w', 'x')}, CAST(0 AS BIGINT) FROM dims
+""")
+def prj17_curve(spark, dims):
+    """The points of the path's curve, from its start: a cubic at eight even steps."""
+    s = generic.read_shapes(shapes_of(dims)).filter("seq = 6").select("doc_id", F.posexplode("points").alias("i", "p")).filter("i > 0")
+    return s.select("doc_id", (F.col("i") - 1).cast("long").alias("i"), milli(F.col("p")[0], "x"), milli(F.col("p")[1], "y"))
+
+
 @query("prj17_prj18_shape_points", "dims", sql=f"""
 SELECT floor_id AS doc_id, {_M('w * h', 'rect_area')}, {_M('32 * w * w * SIN(PI() / 32)', 'circle_area', 100)}, {_M('100 - 2.0', 'rect_top')} FROM dims
 """)
@@ -356,11 +395,19 @@ def prj17(spark, dims):
     return s.groupBy("doc_id").agg(milli(pick(3, G.area("pts")), "rect_area"), milli(pick(4, G.area("pts")), "circle_area", 100), milli(pick(3, F.col("pts")[0]["y"]), "rect_top"))
 
 
-@query("snk8_generic_geojson", "dims", sql="SELECT floor_id AS doc_id, CAST(9 AS BIGINT) AS features, CAST(1 AS BIGINT) AS failed, TRUE AS bare FROM dims")
+@query("snk8_generic_geojson", "dims", sql=f"""
+SELECT floor_id AS doc_id, CAST(9 AS BIGINT) AS features, CAST(1 AS BIGINT) AS failed, TRUE AS bare, {_M('w + 1', 'x')}, {_M('h + 2', 'y')}, 'Polygon' AS kind, CAST(w AS VARCHAR) AS width, 'LineString' AS curve, TRUE AS no_shape FROM dims
+""")
 def snk8(spark, dims):
+    """Counts, a rectangle's far corner, kind and attributes, the curve's kind, and the failed shape's missing geometry."""
     d = generic.shapes_to_geojson(generic.read_shapes(shapes_of(dims)))
-    f = F.from_json(F.get_json_object("document", "$.features"), "array<string>")
-    return d.select("doc_id", F.size(f).cast("long").alias("features"), F.regexp_count("document", F.lit("conversion_error")).cast("long").alias("failed"), F.get_json_object("document", "$.name").isNull().alias("bare"))
+    g = lambda p: F.get_json_object("document", f"$.{p}")
+    f = F.from_json(g("features"), "array<string>")
+    return d.select(
+        "doc_id", F.size(f).cast("long").alias("features"), F.regexp_count("document", F.lit("conversion_error")).cast("long").alias("failed"), g("name").isNull().alias("bare"),
+        milli(g("features[3].geometry.coordinates[0][2][0]").cast("double"), "x"), milli(g("features[3].geometry.coordinates[0][2][1]").cast("double"), "y"), g("features[3].geometry.type").alias("kind"),
+        g("features[3].properties.width").alias("width"), g("features[6].geometry.type").alias("curve"), g("features[8].geometry").isNull().alias("no_shape"),
+    )
 
 
 _ROOMS = f"""
@@ -382,22 +429,72 @@ def rooms_by_type(spark, grid: DataFrame, cells: DataFrame) -> DataFrame:
 query("orc_rooms_by_type", "grid_edges", "cells", sql=_ROOMS)(rooms_by_type)
 
 
-@query("orc1_run_floors", "prims")
-def orc1(spark, prims):
-    """All stages on the derived drawings: regions by role and type of each floor."""
-    p = svg.primitives(svg.elements(svg_documents_of(prims)))
-    plan = pipeline.run_floors(p)
+def whole_plan(strokes: DataFrame, sheets: DataFrame) -> pipeline.Plan:
+    """The run over whole plans, from their SVG texts on."""
+    box = F.format_string("0 0 %.1f %.1f", F.col("wide") + 20, F.col("high") + 20)
+    documents = svg_documents_of(strokes.join(sheets.select("floor_id", "wide", "high"), "floor_id"), box)
+    return pipeline.run_floors(svg.primitives(svg.elements(documents)))
+
+
+#: What stands in a room decides its type, kitchens near a WC are WCs, small square rooms without objects are taken for columns, others are judged by their shape.
+_PLAN = f"""
+WITH t AS (SELECT *, {_TYPE} AS kind, object_sem IS NULL AND w * h <= 100 AND LEAST(w, h) / GREATEST(w, h) >= 0.6 AS is_column FROM rooms),
+u AS (SELECT k.*, CASE WHEN k.kind = 'Kitchen' AND EXISTS (SELECT 1 FROM t o WHERE o.floor_id = k.floor_id AND o.kind = 'WC' AND ABS(o.ci - k.ci) <= 1 AND ABS(o.cj - k.cj) <= 1) THEN 'WC'
+  WHEN k.kind IS NOT NULL THEN k.kind WHEN LEAST(w, h) < 14 THEN 'Walkways' ELSE 'Office' END AS facil_type FROM t k),
+c AS (SELECT floor_id, SUM(CASE WHEN is_column THEN w * h ELSE 0 END) AS columns, CAST(SUM(CASE WHEN is_column THEN 1 ELSE 0 END) AS BIGINT) AS n_columns, CAST(COUNT(object_sem) AS BIGINT) AS n_locked FROM t GROUP BY floor_id),
+s AS (SELECT d.*, columns, n_columns, n_locked, (wide + 20) * (high + 20) AS canvas FROM sheets d JOIN c ON c.floor_id = d.floor_id),
+r AS (SELECT floor_id, facil_type, w * h AS area FROM u WHERE NOT is_column UNION ALL SELECT floor_id, 'Walkways', canvas - wide * high FROM s)
+"""
+
+
+@query("orc1_run_floors", "strokes", "sheets", of=("sheets", "rooms"), sql=_PLAN + f"""
+SELECT floor_id, 'room' AS role, facil_type, CAST(COUNT(*) AS BIGINT) AS regions, {_M('SUM(area)', 'area')} FROM r GROUP BY floor_id, facil_type UNION ALL
+SELECT floor_id, 'wall', 'Wall', CAST(1 AS BIGINT), {_M('wide * high - nc * nr * w * h + columns - 16', 'area')} FROM s UNION ALL
+SELECT floor_id, 'outline', NULL, CAST(1 AS BIGINT), {_M('canvas', 'area')} FROM s UNION ALL
+SELECT floor_id, 'door', 'Door', CAST(1 AS BIGINT), CAST(8000 AS BIGINT) FROM s UNION ALL
+SELECT floor_id, 'window', 'Window', CAST(1 AS BIGINT), CAST(8000 AS BIGINT) FROM s
+""")
+def orc1(spark, strokes, sheets):
+    """All stages on whole plans: regions by role and type of each floor."""
+    return whole_plan(strokes, sheets).regions.groupBy("floor_id", "role", "facil_type").agg(F.count("*").alias("regions"), milli(F.sum("area"), "area"))
+
+
+@query("orc4_agg7_separation", "strokes", "sheets", of=("sheets", "rooms"), sql=_PLAN + """
+SELECT floor_id, nc * nr - n_columns + 1 AS room_count, 1 + n_columns AS wall_count, n_columns AS column_count, CAST(0 AS BIGINT) AS small_wall_count, CAST(1 AS BIGINT) AS merged_wall_count, CAST(0 AS BIGINT) AS synth_wall_count,
+  CAST(1 AS BIGINT) AS door_count, CAST(1 AS BIGINT) AS window_count, CAST(1 AS BIGINT) AS hatched_wall_count, n_locked AS locked_room_count, 'largest_gap' AS method, FALSE AS hatching_calibrated FROM s
+""")
+def orc4(spark, strokes, sheets):
+    """The counts of a run."""
+    names = "room_count wall_count column_count small_wall_count merged_wall_count synth_wall_count door_count window_count hatched_wall_count locked_room_count method hatching_calibrated".split()
+    return whole_plan(strokes, sheets).statistics().select("floor_id", *names)
+
+
+@query("orc1_derived_drawings", "prims")
+def orc1_derived(spark, prims):
+    """All stages on crowded drawings without analytic answers: regions by role and type of each floor."""
+    plan = pipeline.run_floors(svg.primitives(svg.elements(svg_documents_of(prims))))
     return plan.regions.groupBy("floor_id", "role", "facil_type").agg(F.count("*").alias("regions"), milli(F.sum("area"), "area"))
 
 
-@query("orc2_close_openings", "prims")
-def orc2(spark, prims):
-    p = lined(prims)
-    b = pipeline.close_openings(p)
-    return b.groupBy("floor_id", "is_window").agg(F.count("*").alias("boxes"), milli(F.sum((F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))), "area"))
+@query("orc2_close_openings", "strokes", of=("rooms",), sql=f"""
+SELECT floor_id, FALSE AS is_window, {_M('x + w', 'minx')}, {_M('y + 2', 'miny')}, {_M('x + w + 2', 'maxx')}, {_M('y + 6', 'maxy')} FROM rooms WHERE left_of_door UNION ALL
+SELECT floor_id, TRUE, {_M('x + 2', 'minx')}, {_M('10', 'miny')}, {_M('x + 6', 'maxx')}, {_M('12', 'maxy')} FROM rooms WHERE right_of_door
+""")
+def orc2(spark, strokes):
+    b = pipeline.close_openings(lined(strokes))
+    return b.select("floor_id", "is_window", *(milli(c, c) for c in ("minx", "miny", "maxx", "maxy")))
 
 
-@query("orc3_clean_geometry", "prims")
-def orc3(spark, prims):
-    e = floors.clean_lines(lined(prims).filter("role = 'boundary'"))
+@query("orc3_clean_geometry", "strokes", of=("sheets",), sql=f"SELECT floor_id, CAST(4 * nc * nr + 9 AS BIGINT) AS edges, {_M('2 * (w + h) * nc * nr + 2 * (wide + high) - 16 + 0.4 * SQRT(2)', 'length')} FROM sheets")
+def orc3(spark, strokes):
+    e = floors.clean_lines(lined(strokes).filter("role = 'boundary'"))
     return e.groupBy("floor_id").agg(F.count("*").alias("edges"), milli(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), "length"))
+
+
+@query("agg7_polygonize_stats", "grid_edges", "dims", sql=f"""
+SELECT floor_id, nc * nr AS raw_polygon_count, CASE WHEN w * h >= 100 THEN nc * nr ELSE 0 END AS filtered_polygon_count, CASE WHEN w * h >= 100 THEN 0 ELSE nc * nr END AS removed_small_count, CAST(1 AS BIGINT) AS dangle_count, CAST(0 AS BIGINT) AS cut_edge_count,
+  {_M('w / 4.0', 'total_dangle_length')}, {_M('CASE WHEN w * h >= 100 THEN nc * nr * w * h ELSE 0 END', 'total_area')}, {_M('CASE WHEN w * h >= 100 THEN w * h ELSE 0 END', 'max_area')} FROM dims
+""")
+def agg7_polygonize(spark, grid, dims):
+    s = stats.polygonize_stats(floors.faces(floors.node_edges(overhang(grid, dims))), min_room_area=100.0)
+    return s.select("floor_id", "raw_polygon_count", "filtered_polygon_count", "removed_small_count", "dangle_count", "cut_edge_count", *(milli(c, c) for c in ("total_dangle_length", "total_area", "max_area")))

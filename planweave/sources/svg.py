@@ -67,17 +67,22 @@ def view_box(text):
     return G.let(F.split(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")), " "), numbers)
 
 
-def geometry(resolution: int = 20):
-    """Points of an element before translation; null where the element is skipped."""
+def with_points(rows: DataFrame, resolution: int = 20) -> DataFrame:
+    """Elements with ``pts``: their points before translation, null where the element is skipped."""
+    numbered = rows.withColumn("numbers", F.regexp_extract_all("d", F.lit(rf"({_NUMBER})"), F.lit(1)))
+    return numbered.withColumn("pts", _geometry(resolution)).drop("numbers")
+
+
+def _geometry(resolution: int):
+    # What a segment and an arc look like. One pass over the text gives all its numbers, in order.
     seg = rf"^M\s*({_NUMBER})[\s,]+({_NUMBER})\s*L\s*({_NUMBER})[\s,]+({_NUMBER})"
-    arc = rf"^M\s*({_NUMBER})[\s,]+({_NUMBER})\s*A\s*({_NUMBER})[\s,]+({_NUMBER})[\s,]+({_NUMBER})[\s,]+([01])[\s,]+([01])[\s,]+({_NUMBER})[\s,]+({_NUMBER})"
+    arc = rf"^M\s*({_NUMBER})[\s,]+({_NUMBER})\s*A\s*({_NUMBER})[\s,]+({_NUMBER})\s+({_NUMBER})\s+([01])[\s,]+([01])\s+({_NUMBER})[\s,]+({_NUMBER})"
     d = F.trim("d")
-    s = lambda i: F.regexp_extract(d, seg, i).cast("double")
-    a = lambda i: F.regexp_extract(d, arc, i).cast("double")
+    n = lambda i: F.get("numbers", F.lit(i)).cast("double")
     num = lambda c: F.col(c).cast("double")
     return (
-        F.when((F.col("tag") == "path") & (F.col("original_type") == "segment") & d.rlike(seg), G.line(s(1), s(2), s(3), s(4)))
-        .when((F.col("tag") == "path") & (F.col("original_type") == "arc") & d.rlike(arc), G.arc(a(1), a(2), a(3), a(4), a(5), a(6), a(7), a(8), a(9), resolution))
+        F.when((F.col("tag") == "path") & (F.col("original_type") == "segment") & d.rlike(seg), G.line(n(0), n(1), n(2), n(3)))
+        .when((F.col("tag") == "path") & (F.col("original_type") == "arc") & d.rlike(arc), G.arc(n(0), n(1), n(2), n(3), n(4), n(5), n(6), n(7), n(8), resolution))
         .when((F.col("tag") == "circle") & (num("r") > 0) & num("cx").isNotNull() & num("cy").isNotNull(), G.ellipse(num("cx"), num("cy"), num("r"), num("r")))
         .when((F.col("tag") == "ellipse") & (num("rx") > 0) & (num("ry") > 0) & num("cx").isNotNull() & num("cy").isNotNull(), G.ellipse(num("cx"), num("cy"), num("rx"), num("ry")))
     )
@@ -85,14 +90,14 @@ def geometry(resolution: int = 20):
 
 def role(semantic="semantic_id", config: Parsing = Parsing()):
     s = F.col(semantic)
-    return F.when(s.isNull(), "skipped").when(s.isin(*config.boundary_ids), "boundary").when(s.isin(*config.door_ids), "door").when(s.isin(*config.window_ids), "window").otherwise("classification")
+    return F.when(s.isNull(), "skipped").when(s.isin(*config.boundary_semantic_ids), "boundary").when(s.isin(*config.door_semantic_ids), "door").when(s.isin(*config.window_semantic_ids), "window").otherwise("classification")
 
 
 def primitives(rows: DataFrame, config: Parsing = Parsing()) -> DataFrame:
     """Primitives of elements, in floor coordinates, with the four canvas edges, and their roles."""
     own = rows.withColumn("vb", view_box(F.col("view_box")))
     parsed = (
-        own.filter("primitive_id is not null").withColumn("pts", geometry(config.arc_resolution)).filter("pts is not null")
+        with_points(own.filter("primitive_id is not null"), config.arc_resolution).filter("pts is not null")
         .withColumn("pts", F.when((F.col("vb.x") != 0) | (F.col("vb.y") != 0), G.move("pts", -F.col("vb.x"), -F.col("vb.y"))).otherwise(F.col("pts")))
     )
     if config.y_flip:
@@ -118,6 +123,7 @@ def canvas_edges(own: DataFrame) -> DataFrame:
 def level_of(name):
     """Floor level from a file name of the Turkish kind: basements negative, ground and unknown 0."""
     n = F.col(name) if isinstance(name, str) else name
+    # How names say the level.
     basement, bare, ground, floor = r"(?iu)_(\d+)\s*BODRUM", r"(?iu)_BODRUM(?:KAT)?[_.]", r"(?iu)_ZEM[İI]N(?:KAT)?[_.]", r"(?iu)_(\d+)\s*\.?\s*KAT"
     return F.when(n.rlike(basement), F.concat(F.lit("-"), F.regexp_extract(n, basement, 1))).when(n.rlike(bare), "-1").when(n.rlike(ground), "0").when(n.rlike(floor), F.regexp_extract(n, floor, 1)).otherwise("0")
 

@@ -5,9 +5,6 @@ import pytest
 from planweave import queries
 from tests.compare import DATA, duck, same
 
-SLOW = {"orc1_run_floors"}
-
-
 @pytest.fixture(scope="module")
 def db():
     return duck()
@@ -18,6 +15,6 @@ def test_query_equals_sql(spark, db, name):
     same(queries.QUERIES[name](spark, DATA), db, queries.SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, DATA).count() > 0
