@@ -42,12 +42,23 @@ def new_path(spark: SparkSession, name: str) -> str:
 def store(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write and reread: computed once, and safe from lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write(df, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
+def write(df: DataFrame, path: str) -> None:
+    """Writes a table as Parquet; the shuffle files of its plan, which nothing else reads, are removed when it is done."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes stored tables; only for those that no DataFrame in use reads."""
     for df in tables:
