@@ -5,34 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.storage import shared_dir, store  # noqa: F401  for the operators
+from planweave.storage import discard, new_path, scope, shared_dir, store, write  # noqa: F401  for the operators
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def drop_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that are no longer referred to.
-
-    Listeners hold the plan that has just ended for a moment, so the garbage is collected more than once."""
-    import gc
-    import time
-
-    for _ in range(3):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.6)
+#: Rows that a function of Arrow batches is given at a time, since texts are long. Batches share their memory with the one they are cut from.
+BATCH_ROWS = 2000
 
 
 def released(f):
-    """A function of Arrow batches whose worker gives free memory back to the system when a task ends."""
+    """A function of Arrow batches, given at most ``BATCH_ROWS`` rows at a time, whose worker gives free memory back to the system when a task ends."""
     import functools
 
     @functools.wraps(f)
     def run(batches):
         try:
-            yield from f(batches)
+            yield from f(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, max(batch.num_rows, 1), BATCH_ROWS))
         finally:
             import ctypes
             import gc
@@ -49,15 +40,40 @@ def released(f):
     return run
 
 
-def bounded(df: DataFrame, rows: int = 2000) -> DataFrame:
-    """Arrow batches of fewer rows, since texts are long; leaves a smaller setting alone."""
-    conf = df.sparkSession.conf
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= rows:
-        conf.set(key, str(rows))
-    return df
-
-
 def ids_and_text(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns that an operator reads, so that others never reach Python."""
-    return bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+
+
+def free_name(wanted: str, *taken: list[str]) -> str:
+    """A column name that none of the lists holds, in any case."""
+    used = {x.lower() for names in taken for x in names}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
+def bits_of(values: DataFrame, column: str, bits: int = 1 << 21) -> bytes:
+    """A bitmap of ``bits`` bits (256 KB), whatever the number of rows, with the bit ``bit_place`` of every value set."""
+    words = values.select(bit_place(column, bits).alias("p")).groupBy(F.floor(F.col("p") / 8).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1, cast(p % 8 as int))")).alias("b"))
+    data = bytearray(bits // 8)
+    # As many bytes as the bitmap has, in pages.
+    for r in words.groupBy(F.floor(F.col("w") / 4096).alias("page")).agg(F.collect_list(F.struct("w", "b")).alias("own")).collect():
+        for w, b in r.own:
+            data[w] = b
+    return bytes(data)
+
+
+def bit_place(column: str, bits: int = 1 << 21):
+    return F.pmod(F.xxhash64(column), F.lit(bits))
+
+
+def with_bit(df: DataFrame, column: str, data: bytes):
+    """``df`` beside a one-row table that holds a bitmap of ``bits_of``, and the condition that a value's bit is set.
+
+    One row of a join, not a literal: plans with long literals are long to print and keep."""
+    name = free_name("bitmap", df.columns)
+    row = df.sparkSession.createDataFrame([(bytearray(data),)], f"`{name}` binary")
+    place = bit_place(column, len(data) * 8)
+    byte = F.conv(F.hex(F.substring(name, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.broadcast(row), byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, ids_and_text, read, released
+from .common import ids_and_text, read, released
 from .scan import ALNUM_WORD, LOWER_TABLE, Chunk, U, chunks, per_chunk, starts_of_windows, windows
 
 WINDOW, LEAST_LITERALS, LEAST_TOKENS = 8, 4, 4
@@ -307,7 +307,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return docs.mapInArrow(released(run), schema)
 
-    return reduce(lambda left, block: without(left, *block), _blocks(benchmark), bounded(docs))
+    return reduce(lambda left, block: without(left, *block), _blocks(benchmark), docs)
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded, ids_and_text, read, released
+from .common import ids_and_text, read, released
 from .scan import Chunk, per_chunk
 
 HIDDEN, WINDOW, BLOCK = 8, 128, 4096
@@ -254,7 +254,7 @@ def label(docs: DataFrame, net: Network | None, to: tuple[str, str, str] = ("lan
 
     flag = "_has_letter"
     schema = T.StructType([*kept, T.StructField(to[0], T.StringType()), T.StructField(to[1], T.DoubleType()), T.StructField(to[2], T.DoubleType())])
-    marked = bounded(docs).withColumn(flag, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    marked = docs.withColumn(flag, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     return marked.mapInArrow(released(run), schema)
 
 

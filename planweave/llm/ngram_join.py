@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, drop_shuffles, ids_and_text, read, released, store
-from .components import components
+from planweave.operators.components import components
+
+from .common import bits_of, free_name, ids_and_text, read, released, store, with_bit
 from .scan import LOWER_TABLE, PLAIN_WORD, Chunk, U, mix, per_chunk, windows
 
 #: Least and most bits of a bitmap, and bits for each n-gram between.
@@ -244,36 +245,25 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     own = among(docs, needed).join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(released(arrays), "doc_id long, grams binary")
     own = store(own, "grams")
     x, y = own.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), own.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
-    return bounded(pairs.join(x, "a").join(y, "b")).mapInArrow(intersect, "a long, b long, ok boolean")
+    return pairs.join(x, "a").join(y, "b").mapInArrow(released(intersect), "a long, b long, ok boolean")
 
 
-def among(docs: DataFrame, needed: DataFrame, bits: int = 1 << 21) -> DataFrame:
+def among(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """Rows of ``docs`` but for most of those whose doc_id isn't in ``needed``, so that few texts are shuffled for the join that decides.
 
-    What is sent to the executors is a hash bitmap of ``bits`` bits, 256 KB, whatever the number of ids."""
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    words = needed.select(place("doc_id").alias("p")).groupBy(F.floor(F.col("p") / 8).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1, cast(p % 8 as int))")).alias("b"))
-    data = bytearray(bits // 8)
-    # As many bytes as the bitmap has, in pages.
-    for r in words.groupBy(F.floor(F.col("w") / 4096).alias("page")).agg(F.collect_list(F.struct("w", "b")).alias("own")).collect():
-        for w, b in r.own:
-            data[w] = b
-    # One row of a join, not a literal: plans with long literals are long to print and keep.
-    row = docs.sparkSession.createDataFrame([(data,)], "bitmap binary")
-    byte = F.conv(F.hex(F.substring("bitmap", (place("doc_id") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return docs.join(F.broadcast(row), byte.bitwiseAND(F.pow(F.lit(2), place("doc_id") % 8).cast("int")) != 0, "left_semi")
+    What is sent to the executors is a bitmap of fixed size, whatever the number of ids."""
+    table, hit = with_bit(docs, "doc_id", bits_of(needed, "doc_id"))
+    return docs.join(table, hit, "left_semi")
 
 
 def links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Verified edges (a, b) that connect the same representatives as all links between them."""
     own = store(tiles(reps, percent), "tiles")
-    drop_shuffles(docs.sparkSession)
     stands = own.filter("not plain").select(F.explode("members").alias("rep"), "times").groupBy("rep").agg(F.sum("times").alias("stands"))
     sized = reps.join(stands, "rep").filter("stands >= least").select("rep", "n", "bits")
     members = own.filter("plain").select("tile", F.explode("members").alias("rep")).join(sized, "rep")
     found = store(edges(members, percent), "edges")
     checked = store(verified(found.select("a", "b").distinct(), docs, k, percent), "checked")
-    drop_shuffles(docs.sparkSession)
     passed, failed = checked.filter("ok").select("a", "b"), checked.filter("not ok").select("a", "b")
     open_tiles = found.join(failed, ["a", "b"]).select("tile").distinct()
     if open_tiles.isEmpty():

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, ids_and_text, read, released
+from .common import ids_and_text, read, released
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -411,7 +411,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names)
 
     at, names = fields.index("text"), fields
-    out = bounded(docs).mapInArrow(released(run), docs.schema)
+    out = docs.mapInArrow(released(run), docs.schema)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))) if "n_chars" in fields else out
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, ids_and_text, read, shared_dir, store
+from .common import ids_and_text, read, shared_dir, store
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 #: Documents the dictionary is trained on, at most, bytes of ids taken of each, and the dictionary's size.
@@ -164,7 +164,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
     # Written once before the range exchange, which reads its input twice: to find the bounds and to deal out the rows.
     framed = store(docs.mapInArrow(frames, "doc_id long, n_tokens long, frame binary"), "frames")
-    ordered = bounded(framed).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("frame")).withColumn("shard", F.spark_partition_id())
+    ordered = framed.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("frame")).withColumn("shard", F.spark_partition_id())
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, at, start = [], 0, 0, 0

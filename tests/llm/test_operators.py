@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 from planweave.llm import decontaminate, language, licenses, ngram_join, pieces, quality, queries, secrets, suffix_dedup, token_output
-from planweave.llm.components import components
+from planweave.operators.components import components
 from tests.compare import DATA
 from tests.llm.data import awkward, empty, frame
 
@@ -311,9 +311,33 @@ def removed(docs, n=50):
     return sorted(out, key=repr)
 
 
-def test_repeats(spark):
+#: No anchor is hot, those that stand more than twice, all.
+HEAT = {"cold": (1, 1 << 40), "mixed": (1, 2), "hot": (1, 0)}
+
+
+@pytest.mark.parametrize("heat", HEAT)
+def test_repeats(spark, heat):
     for df in (small(spark), frame(spark), empty(spark)):
-        assert rows(suffix_dedup.remove_repeats(df).drop("kept")) == removed([(r.doc_id, r.text) for r in df.collect()])
+        assert rows(suffix_dedup.remove_repeats(df, *HEAT[heat]).drop("kept")) == removed([(r.doc_id, r.text) for r in df.collect()])
+
+
+@pytest.mark.parametrize("heat", HEAT)
+def test_repeats_of_rows_with_one_id(spark, heat):
+    """Rows of one doc_id with different texts are each judged by their own."""
+    a, b, c = (" ".join(f"{w}{k}" for w in ("alpha", "beta", "gamma", "delta") * 4) for k in "xyz")
+    docs = [(1, a), (2, a + "!"), (2, b), (2, b), (3, c + b), (3, a), (3, "short"), (4, None), (4, a[:60]), (None, a)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = rows(suffix_dedup.remove_repeats(df, *HEAT[heat]).drop("kept"))
+    assert got == removed(docs) and sum(r[2] > 0 for r in got) == 4
+
+
+def test_repeats_in_parts():
+    """Many segments of one anchor, sorted in parts, give what one sort gives."""
+    r = np.random.default_rng(4)
+    segs = [bytes(r.integers(97, 99, 80).astype(np.uint8)) if r.random() < 0.5 else b"ab" * 30 + bytes([97 + int(k) for k in r.integers(0, 3, 20)]) for _ in range(60)]
+    docs = r.integers(0, 30, 60)
+    whole, parts = (sorted(zip(*map(list, suffix_dedup.repeated(segs, docs, limit)), strict=True)) for limit in (1 << 20, 300))
+    assert whole == parts and len(whole) > 100
 
 
 def test_repeats_at_borders(spark):
@@ -323,7 +347,8 @@ def test_repeats_at_borders(spark):
     docs = [(i, letters(rng.integers(0, 90)) + shared[rng.integers(5)] + letters(rng.integers(0, 9)) + shared[rng.integers(5)][rng.integers(0, 20) :]) for i in range(60)]
     docs += [(60, "a" * 500), (61, "a" * 49), (62, "ba" + "a" * 300), (63, "a" * 50)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert rows(suffix_dedup.remove_repeats(df).drop("kept")) == removed(docs)
+    for heat in HEAT.values():
+        assert rows(suffix_dedup.remove_repeats(df, *heat).drop("kept")) == removed(docs)
 
 
 def test_two_stage_order():
