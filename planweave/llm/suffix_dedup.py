@@ -231,7 +231,7 @@ class _Gather:
         valid, ids = np.asarray(ids.is_valid()), ids.fill_null(0).to_numpy()
         h, s, doc, place = anchors(chunk)
         ok = valid[doc]
-        warm = ok & self.hot[(h >> U(48)).astype(np.int64)] if self.hot.any() else np.zeros(len(h), bool)
+        warm = ok & self.hot[(h % U(BUCKETS)).astype(np.int64)] if self.hot.any() else np.zeros(len(h), bool)
         at = np.flatnonzero(ok & ~warm)
         self.cold.append((h[at], s[at], ids[doc[at]], own[doc[at]], place[at]))
         if sum(len(x[0]) for x in self.cold) >= GATHER:
@@ -339,12 +339,26 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def hot_buckets(docs: DataFrame, one_in: int = COUNT_ONE_IN, least: int = HOT_LEAST) -> np.ndarray:
-    """Flags of the buckets with many anchors, counted over a part of the documents; BUCKETS counts at most reach the driver."""
+    """Flags of the buckets of anchors with many segments, counted over a part of the documents; BUCKETS counts at most reach the driver.
+
+    Equal segments that a task holds at a time count once, as they are passed on once. Buckets are of an anchor's low bits: the high ones are small, since the least hash is taken."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts, held = np.zeros(BUCKETS, np.int64), []
+
+        def count() -> None:
+            h, both = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, once = np.unique(both, return_index=True)
+            counts[:] += np.bincount((h[once] % U(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+            held.clear()
+
         for _, chunk in per_chunk(batches, CHUNK_BYTES):
-            counts += np.bincount((anchors(chunk)[0] >> U(48)).astype(np.int64), minlength=BUCKETS)
+            h, s, _, _ = anchors(chunk)
+            held.append((h, h ^ mix(s)))
+            if sum(len(x[0]) for x in held) >= GATHER:
+                count()
+        if held:
+            count()
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["bucket", "n"])
 
