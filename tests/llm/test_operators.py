@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from planweave.llm import decontaminate, language, licenses, ngram_join, pieces, quality, queries, secrets, suffix_dedup, token_output
 from planweave.operators.components import components
@@ -69,57 +70,104 @@ def test_language_cases(spark):
 
 
 def classes(docs, k, percent):
-    found = {}
+    """Rows (doc_id, size, component); documents of one doc_id are one node."""
+    sets, nodes = [], []
     for i, t in docs:
         w = re.findall(SPACES, (t or "").encode().translate(LOWER))
-        found.setdefault(i, set()).update(zip(*(w[j:] for j in range(k)), strict=False) if len(w) >= k else [tuple(w)] if w else [])
-    root = {i: i for i in found}
+        sets.append(set(zip(*(w[j:] for j in range(k)), strict=False) if len(w) >= k else [tuple(w)] if w else []))
+        nodes.append(i)
+    root = {i: i for i in nodes}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for a in found:
-        for b in found:
-            both = len(found[a] & found[b])
-            if a < b and both and 100 * both >= percent * len(found[a] | found[b]):
-                x, y = sorted((find(a), find(b)))
+    for i, a in zip(nodes, sets, strict=True):
+        for j, b in zip(nodes, sets, strict=True):
+            both = len(a & b)
+            if i < j and both and 100 * both >= percent * len(a | b):
+                x, y = sorted((find(i), find(j)))
                 root[y] = x
-    return {i: (len(s), find(i)) for i, s in found.items()}
+    return sorted(((i, len(s), find(i)) for i, s in zip(nodes, sets, strict=True)), key=repr)
 
 
+#: Whether n-grams count as common and families as heavy: none, or those of a few sets.
+FAMILIES = {"plain": (1, 1 << 40), "heavy": (1, 2)}
+
+
+@pytest.mark.parametrize("family", FAMILIES)
 @pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
-def test_ngram_components(spark, k, percent):
+def test_ngram_components(spark, k, percent, family):
     docs = [(r.doc_id, r.text) for r in small(spark).collect()]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(small(spark), k, percent).collect()}
-    assert got == classes(docs, k, percent)
+    assert rows(ngram_join.ngram_components(small(spark), k, percent, *FAMILIES[family])) == classes(docs, k, percent)
 
 
-def test_ngram_borders(spark):
+def variants(n, seed, most):
     """Near the threshold, in one group of many."""
-    rng = np.random.default_rng(5)
-    base = [f"w{i}" for i in range(60)]
+    rng = np.random.default_rng(seed)
     docs = []
-    for i in range(150):
-        own = list(base)
-        for at in rng.integers(0, 60, rng.integers(0, 4)):
+    for i in range(n):
+        own = [f"w{i}" for i in range(60)]
+        for at in rng.integers(0, 60, rng.integers(0, most)):
             own[at] = f"x{rng.integers(5)}"
         docs.append((i, " ".join(own)))
+    return docs
+
+
+@pytest.mark.parametrize("family", FAMILIES)
+def test_ngram_borders(spark, family):
+    for seed, most in ((5, 4), (6, 9)):
+        docs = variants(150, seed, most)
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        for percent in (80, 90):
+            want = classes(docs, 3, percent)
+            assert rows(ngram_join.ngram_components(df, 3, percent, *FAMILIES[family])) == want and 1 < len({r[2] for r in want}) < 150
+
+
+def test_ngram_rings(spark):
+    """Chains of sets that lead away from a family, and two families that one set joins."""
+    word = [f"w{i}" for i in range(100)]
+    change = lambda own, at, by: [f"{by}{i}" if i in at else w for i, w in enumerate(own)]
+    docs = [(100 + i, " ".join(change(word, {i % 40}, f"a{i}"))) for i in range(40)]  # the family
+    docs += [(10 + i, " ".join(change(word, set(range(60 - i, 64)), "far"))) for i in range(0, 9)]  # away from it, step by step
+    other = change(word, set(range(70, 82)), "o")
+    docs += [(300 + i, " ".join(change(other, {i % 40}, f"b{i}"))) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for percent in (70, 80, 85, 90, 95):
+        assert rows(ngram_join.ngram_components(df, 2, percent, 1, 2)) == classes(docs, 2, percent)
+
+
+def test_ngram_parts_of_the_way(spark):
+    """Pivots absorb, and only a ring's sets meet what they absorbed, a block at a time."""
+    reps = ngram_join.sets(spark.createDataFrame(variants(150, 7, 9), "doc_id long, text string"), 3, 90, np.zeros(ngram_join.SLOTS, bool)).withColumnRenamed("doc_id", "rep")
+    chosen = ngram_join.pivots(reps, 90, 1, 2)
+    close = ngram_join.around(reps, chosen, 90).collect()
+    assert 0 < len(chosen) <= ngram_join.PIVOTS and 0 < sum(r.near for r in close) < len(close)
+    assert max(collections.Counter(r.rep for r in close if r.near).values()) == 1
+    grams = spark.createDataFrame([(i, np.arange(i // 10, i // 10 + 40, dtype=np.uint64).tobytes()) for i in range(200)], "doc_id long, grams binary")
+    ring, absorbed = (spark.createDataFrame([(0, i) for i in own], "pivot long, rep long") for own in (range(0, 200, 50), range(1, 100)))
+    got = {(r.a, r.b) for r in ngram_join.ring_links(ring, absorbed, grams, 90, block=10).collect()}
+    assert {b for _, b in got} == {0, 50, 100} and all(abs(a // 10 - b // 10) <= 2 for a, b in got)
+
+
+def test_ngram_one_id_with_several_texts(spark):
+    text = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    docs = [(5, text[0]), (5, text[1]), (7, text[1] + " end"), (3, text[0] + " end"), (9, text[2]), (9, text[2]), (2, text[3]), (9, text[3] + " x"), (11, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for percent in (80, 90):
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(df, 3, percent).collect()}
-        assert got == classes(docs, 3, percent)
+    for family in FAMILIES.values():
+        assert rows(ngram_join.ngram_components(df, 3, 90, *family)) == classes(docs, 3, 90)
 
 
 def test_ngram_cases(spark):
     rows_ = [r for r in awkward() if r[0] is not None]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(frame(spark, rows_), 3, 90).collect()}
-    assert got == classes([(r[0], r[1]) for r in rows_], 3, 90)
+    assert rows(ngram_join.ngram_components(frame(spark, rows_), 3, 90)) == classes([(r[0], r[1]) for r in rows_], 3, 90)
     assert ngram_join.ngram_components(empty(spark)).count() == 0
     assert ngram_join.ngram_components(frame(spark)).count() == len(awkward())
-    kept = ngram_join.drop_near_copies(frame(spark))
-    assert kept.columns == frame(spark).columns and not kept.filter("doc_id = 5").isEmpty() and kept.filter("doc_id = 6").isEmpty()
+    df = frame(spark).withColumn("gone", F.lit(1))
+    kept = ngram_join.drop_near_copies(df)
+    assert kept.columns == df.columns and not kept.filter("doc_id = 5").isEmpty() and kept.filter("doc_id = 6").isEmpty()
+    assert ngram_join.drop_near_copies(empty(spark)).count() == 0
 
 
 def test_components(spark):
