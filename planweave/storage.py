@@ -48,15 +48,21 @@ def store(df: DataFrame, name: str = "stage") -> DataFrame:
     return out
 
 
+#: Settings while a table is stored: shuffle files of its plan, which nothing else reads, are removed when it is done, and functions of Arrow batches get few rows at a time.
+_WHILE_STORED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
 def write(df: DataFrame, path: str) -> None:
-    """Writes a table as Parquet; the shuffle files of its plan, which nothing else reads, are removed when it is done."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, None)
-    conf.set(key, "true")
+    """Writes a table as Parquet; the session has its own settings back afterwards."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in _WHILE_STORED}
     try:
+        for k, v in _WHILE_STORED.items():
+            conf.set(k, v)
         df.write.parquet(path)
     finally:
-        conf.unset(key) if before is None else conf.set(key, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def discard(*tables: DataFrame) -> None:
