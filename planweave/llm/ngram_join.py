@@ -271,6 +271,27 @@ def edges(members: DataFrame, percent: int) -> DataFrame:
     return members.repartition("tile").sortWithinPartitions("tile", "n", "rep").mapInArrow(released(run), "tile long, a long, b long")
 
 
+def undecided(members: DataFrame, percent: int) -> DataFrame:
+    """``tile, rep, n, root`` of those rows (tile, rep, n, bits, root) that pass the bounds with a set of another root in their tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "tile"):
+            tile, n, root = (table.column(c).to_numpy() for c in ("tile", "n", "root"))
+            begin, flags = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), np.zeros(len(tile), bool)
+            for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(tile)], strict=True):
+                if (root[lo:hi] == root[lo]).all():
+                    continue
+                own, later, group = Tile(n[lo:hi], table.slice(lo, hi - lo).column("bits").to_pylist(), percent), np.ones(hi - lo, bool), root[lo:hi]
+                for i in range(hi - lo):
+                    later[i] = False
+                    if close := own.near(i, later & (group != group[i])):
+                        flags[[lo + i, *(lo + j for j in close)]] = True
+            if flags.any():
+                yield from table.filter(pa.array(flags)).select(["tile", "rep", "n", "root"]).combine_chunks().to_batches()
+
+    return members.repartition("tile").sortWithinPartitions("tile", "n", "rep").select("tile", "rep", "n", "root", "bits").mapInArrow(released(run), "tile long, rep long, n long, root long")
+
+
 def rest_of_tiles(members: DataFrame, percent: int) -> DataFrame:
     """``a, b`` for rows (tile, rep, n, root, grams): links between sets of different roots, as few as join them."""
 
@@ -337,12 +358,14 @@ def links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     if open_tiles.isEmpty():
         return passed
     roots = components(passed).withColumnRenamed("node", "rep")
-    again = store(members.drop("bits").join(open_tiles, "tile", "left_semi").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "again")
-    mixed = again.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("tile")
-    again = again.join(mixed, "tile", "left_semi")
+    again = members.join(open_tiles, "tile", "left_semi").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    again = store(undecided(again, percent), "again")
+    discard(own, open_tiles)
+    if again.isEmpty():
+        return passed
     grams = arrays(docs, again.select(F.col("rep").alias("doc_id")), k)
     more = store(rest_of_tiles(again.join(grams.withColumnRenamed("doc_id", "rep"), "rep"), percent), "checked")
-    discard(own, open_tiles, grams)
+    discard(again, grams)
     return passed.unionAll(more)
 
 
