@@ -71,16 +71,20 @@ def discard(*tables: DataFrame) -> None:
         _remove(df.sparkSession, df.stored_at)
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """The same by paths, as ``new_path`` gives them."""
+    for path in paths:
+        _remove(spark, path)
+
+
 @contextmanager
 def scope(spark: SparkSession, *keep: str) -> Iterator[None]:
     """Removes, at its end, what was stored within it, but for the paths ``keep``."""
-    before = len(_stored)
+    before = {*_stored, *keep}
     try:
         yield
     finally:
-        for path in _stored[before:]:
-            if path not in keep:
-                _remove(spark, path)
+        remove(spark, *(path for path in [*_stored] if path not in before))
 
 
 def clean(spark: SparkSession) -> None:
