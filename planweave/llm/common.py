@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.storage import discard, new_path, scope, shared_dir, store, write  # noqa: F401  for the operators
+from planweave.storage import discard, new_path, remove, scope, shared_dir, store, write  # noqa: F401  for the operators
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

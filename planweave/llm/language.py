@@ -2,13 +2,15 @@
 
 The network reads windows of ``WINDOW`` bytes in both directions with ``HIDDEN`` units each, and gives every byte
 position a distribution over the languages. A document's probabilities are the mean over all positions of all its
-windows; nothing is cut off. Training is plain backpropagation through time in numpy, on the driver, with Adam, from at
-most ``TRAIN_DOCS`` labelled documents (at most ``TRAIN_BYTES`` of each), drawn evenly over the languages by a hash of
-doc_id. Whether a document is held out, its language label, its source and its doc_id are never inputs.
+windows; nothing is cut off. Training is plain backpropagation through time in numpy, on the driver, with Adam, from a
+bounded sample: of each language the same number of labelled documents, ``TRAIN_DOCS`` in all but one of each at least,
+by a hash, and of each of these ``TRAIN_PARTS`` parts of ``TRAIN_CHARS`` characters, from hashed places all over the text.
+Whether a document is held out, its language label, its source and its doc_id are never inputs.
 
 Defined cases: a null text and a text without letters get ``und`` with score 0, as does every text if there are no
 labelled rows to learn from; labels that are null are not learned; ties go to the first label in order; repeated rows
-give repeated results; an empty table gives none; other columns are passed over or along unchanged.
+give repeated results; an empty table gives none; other columns are passed over or along unchanged, but for those that
+have the names of results, which results replace. ``keep_languages``: see there.
 """
 
 from __future__ import annotations
@@ -18,18 +20,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ids_and_text, read, released
+from .common import free_name, ids_and_text, read, released
 from .scan import Chunk, per_chunk
 
 HIDDEN, WINDOW, BLOCK = 8, 128, 4096
 #: Bounds of the sample that the network is fitted on.
-TRAIN_DOCS, TRAIN_BYTES = 4000, 512
+TRAIN_DOCS, TRAIN_PARTS, TRAIN_CHARS = 4000, 4, 128
 STEPS, BATCH, TRAIN_WINDOW, RATE = 350, 160, 64, 0.02
 UNKNOWN = "und"
+#: A document whose best language has a smaller pooled probability is in none of the languages learned.
+LEAST_SCORE = 0.4
 
 
 @dataclass
@@ -183,7 +187,10 @@ class Reader:
             p += self.out[1] @ h
             p += self.bias
             top = p.max(axis=0)
-            votes[:, :k] += p == top
+            hit = p == top
+            if np.count_nonzero(hit) > k:  # a tie
+                hit &= np.cumsum(hit, axis=0) == 1
+            votes[:, :k] += hit
             p -= top
             np.exp(p, out=p)
             p /= p.sum(axis=0)
@@ -209,17 +216,25 @@ class Reader:
         return total, votes
 
 
-def training_rows(docs: DataFrame) -> tuple[list[bytes], list[str]]:
-    """At most TRAIN_DOCS labelled texts that aren't held out, as evenly over the labels as there are rows."""
+def training_rows(docs: DataFrame, most: int = TRAIN_DOCS) -> tuple[list[bytes], list[str]]:
+    """Parts of labelled texts that aren't held out, and their labels: at most ``most`` documents, or one of each label, as evenly over the labels as there are rows."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not counts:
         return [], []
-    quota = TRAIN_DOCS / len(counts)
-    share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, quota / n)))))
-    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    rows = picked.orderBy(F.xxhash64("doc_id"), "doc_id").select("lang", F.substring("text", 1, TRAIN_BYTES).alias("text")).limit(TRAIN_DOCS).collect()
-    return [r.text.encode()[:TRAIN_BYTES] for r in rows], [r.lang for r in rows]
+    quota = max(1, most // len(counts))
+    # Few more than are needed are drawn before they are put in order.
+    share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, (2 * quota + 20) / n)))))
+    name = F.xxhash64("doc_id", "text")
+    drawn = known.withColumn("name", name).filter(F.pmod("name", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    size, span = F.length("text"), F.length("text") / TRAIN_PARTS
+    place = lambda i: (F.floor(span * i) + F.pmod(F.xxhash64("name", F.lit(i)), F.greatest(F.lit(1), F.floor(span) - TRAIN_CHARS + 1))).cast("int")
+    part = lambda i: F.substring("text", place(i) + 1, F.lit(TRAIN_CHARS))
+    texts = F.when(size <= TRAIN_PARTS * TRAIN_CHARS, F.array("text")).otherwise(F.array(*map(part, range(TRAIN_PARTS))))
+    order = Window.partitionBy("lang").orderBy("name")
+    rows = drawn.select("lang", "name", texts.alias("parts")).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= quota).orderBy("name").collect()
+    pairs = [(t.encode(), r.lang) for r in rows for t in r.parts]
+    return [t for t, _ in pairs], [lang for _, lang in pairs]
 
 
 def held_out(doc_id):
@@ -233,7 +248,7 @@ def fit(docs: DataFrame) -> Network | None:
 
 
 def label(docs: DataFrame, net: Network | None, to: tuple[str, str, str] = ("lang_pred", "score", "agreement")) -> DataFrame:
-    """``docs`` with the predicted language, its probability, and the part of positions that have this label; ``to`` names them."""
+    """``docs`` with the predicted language, its probability, and the part of positions that have this label; ``to`` names them, and replaces columns of these names."""
     kept = [f for f in docs.schema.fields if f.name not in to]
     docs = docs.select([f.name for f in kept])
     if net is None:
@@ -246,18 +261,33 @@ def label(docs: DataFrame, net: Network | None, to: tuple[str, str, str] = ("lan
             n = np.maximum(total.sum(axis=1), 1e-9)
             best = total.argmax(axis=1)
             at = np.arange(len(best))
-            ok = np.asarray(rows.column(rows.schema.get_field_index(flag)))
+            ok = np.asarray(rows.column(rows.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns[:-1], pa.array(names[np.where(ok, best, -1)], pa.string()), pa.array(np.where(ok, np.clip(total[at, best] / n, 0, 1), 0.0)), pa.array(np.where(ok, np.minimum(votes[at, best] / n, 1), 0.0))],
                 [*rows.schema.names[:-1], *to],
             )
 
-    flag = "_has_letter"
+    flag = free_name("has_letter", docs.columns, list(to))
     schema = T.StructType([*kept, T.StructField(to[0], T.StringType()), T.StructField(to[1], T.DoubleType()), T.StructField(to[2], T.DoubleType())])
     marked = docs.withColumn(flag, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     return marked.mapInArrow(released(run), schema)
 
 
+def keep_languages(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang) in a language that the network knows, with all their columns; a null ``lang`` becomes the predicted one.
+
+    Rows go if their text is null or has no letter, or if no language has a probability of ``least``. Where no row has a
+    label there is no network, and all rows stay as they are."""
+    net = fit(docs)
+    if net is None:
+        return docs
+    names = []
+    for x in ("predicted", "probability", "agreement"):
+        names.append(free_name(x, docs.columns, names))
+    found = label(docs, net, tuple(names)).filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least))
+    return found.withColumn("lang", F.coalesce(F.col("lang"), F.col(names[0]).cast(docs.schema["lang"].dataType))).select(docs.columns)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return label(ids_and_text(docs), fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "agreement")

@@ -374,9 +374,9 @@ def pivots(reps: DataFrame, percent: int, one_in: int = COUNT_ONE_IN, least: int
 
     At most HEAVY n-grams with TAKEN members of each reach the driver; a member is a pivot if the ones before it leave sets that it is near to."""
     part = reps.filter(F.pmod(F.xxhash64("rep"), F.lit(one_in)) == 0)
-    total = F.sum("sets").over(Window.partitionBy())
+    total = part.agg(F.sum(F.size("prefix"))).first()[0] or 0
     tokens = part.select("rep", F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("sets"), *(F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"r{i}") for i in range(TAKEN)))
-    heavy = tokens.withColumn("total", total).filter((F.col("sets") * one_in > least) & (F.col("sets") > HOT_TIMES * F.col("total") / SLOTS)).orderBy(F.desc("sets"), "token").limit(HEAVY)
+    heavy = tokens.filter((F.col("sets") * one_in > least) & (F.col("sets") > HOT_TIMES * total / SLOTS)).orderBy(F.desc("sets"), "token").limit(HEAVY)
     chosen = store(heavy.select(F.explode(F.array(*(f"r{i}" for i in range(TAKEN)))).alias("rep")).distinct(), "heavy")
     rows = [] if chosen.isEmpty() else reps.join(F.broadcast(chosen), "rep", "left_semi").select("rep", "n", "bits").orderBy("n", "rep").collect()
     discard(chosen)

@@ -388,31 +388,34 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     return ids_and_text(docs).mapInArrow(released(run), "doc_id long, secrets array<struct<start:long,end:long,kind:string,path:string>>")
 
 
+def redacted(text: str, mark: str) -> str:
+    """The text with every secret's span replaced; overlapping spans by one mark."""
+    base, more = scan(text)
+    parts, last = [], 0
+    for a, b, *_ in sorted([*base, *more]):
+        if a >= last:
+            parts += [text[last:a], mark]
+        last = max(last, b)
+    return "".join([*parts, text[last:]])
+
+
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with every secret's span replaced; n_chars, where present, follows the text."""
-    fields = docs.columns
+    """The same rows and columns with every secret's span replaced; n_chars, where present, follows texts that change."""
+    names, at = docs.columns, docs.columns.index("text")
+    count = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for t in batch.column(at).to_pylist():
-                if t:
-                    base, more = scan(t)
-                    if base or more:
-                        parts, last = [], 0
-                        for a, b, *_ in sorted([*base, *more]):
-                            if a >= last:
-                                parts += [t[last:a], mark]
-                            last = max(last, b)
-                        t = "".join([*parts, t[last:]])
-                texts.append(t)
             cols = list(batch.columns)
-            cols[at] = pa.array(texts, pa.string())
+            old = cols[at].to_pylist()
+            new = [t and redacted(t, mark) for t in old]
+            cols[at] = pa.array(new, pa.string())
+            if count is not None:
+                sizes = [n if t == was else len(t) for n, t, was in zip(cols[count].to_pylist(), new, old, strict=True)]
+                cols[count] = pa.array(sizes).cast(cols[count].type)
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    at, names = fields.index("text"), fields
-    out = docs.mapInArrow(released(run), docs.schema)
-    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))) if "n_chars" in fields else out
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

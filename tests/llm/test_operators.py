@@ -66,6 +66,62 @@ def test_language_cases(spark):
     assert language.label(empty(spark), net).count() == 0
 
 
+def positions(net, text):
+    """Probabilities of every byte position, window by window, one step at a time."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    out = []
+    for at in range(0, len(text), language.WINDOW):
+        part = text[at : at + language.WINDOW]
+        logits = [net.bias[:, 0].astype(float) for _ in part]
+        for d, order in ((0, range(len(part))), (1, range(len(part) - 1, -1, -1))):
+            h, n = np.zeros(net.states_in[d].shape[1]), net.states_in[d].shape[1]
+            for t in order:
+                a, g = net.bytes_in[d][:, part[t]], net.states_in[d] @ h
+                z, r = sigmoid(a[:n] + g[:n]), sigmoid(a[n : 2 * n] + g[n : 2 * n])
+                h = z * h + (1 - z) * np.tanh(a[2 * n :] + r * g[2 * n :])
+                logits[t] = logits[t] + net.out[d] @ h
+        for x in logits:
+            e = np.exp(x - x.max())
+            out.append(e / e.sum())
+    return np.array(out)
+
+
+def test_language_reads_every_position(spark):
+    net = language.train([b"the and of it", "der die das und".encode(), "être où ça".encode()] * 3, ["en", "de", "fr"] * 3, steps=20)
+    texts = ["the", "x" * 127 + "é", "und das ist " * 40, "a", "le où " * 21 + "the and", "of it and the " * 9]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in language.label(df, net).collect():
+        p = positions(net, r.text.encode())
+        mean = p.mean(axis=0)
+        assert r.lang_pred == net.labels[int(mean.argmax())] and r.score == pytest.approx(mean.max(), abs=1e-5)
+        assert r.agreement == pytest.approx((p.argmax(axis=1) == mean.argmax()).mean(), abs=1e-6)
+
+
+def test_language_learns_every_label_from_whole_texts(spark):
+    docs = [(i, "a" * 3000 + "b" * 3000, f"rare{i}" if i < 40 else "common") for i in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    texts, labels = language.training_rows(df, 20)
+    held = {i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert set(labels) == {"common", *(f"rare{i}" for i in range(40) if i not in held)} and len(texts) == 4 * len(set(labels))
+    assert any(b"b" in t for t in texts) and any(b"a" in t for t in texts) and {len(t) for t in texts} == {128}
+    short = language.training_rows(spark.createDataFrame([(1, "short text", "x"), (1, None, "x"), (2, "more", None)], df.schema))
+    assert short == ([b"short text"], ["x"])
+
+
+def test_keep_languages(spark):
+    """The network's probability decides, null labels become its labels, and without labels all stay."""
+    df = small(spark).withColumn("predicted", F.lit(1)).withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang")))
+    found = {r.doc_id: r for r in language.label(df, language.fit(df)).collect()}
+    bound = sorted(r.score for r in found.values())[20]
+    for least in (language.LEAST_SCORE, bound, 1.1):
+        kept = language.keep_languages(df, least)
+        want = {i: found[i].lang or found[i].lang_pred for i, r in found.items() if r.lang_pred != "und" and r.score >= least}
+        assert kept.columns == df.columns and {r.doc_id: r.lang for r in kept.collect()} == want
+    assert len({r.lang_pred for r in found.values() if r.lang is None}) > 1
+    bare = frame(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert rows(language.keep_languages(bare)) == rows(bare) and language.keep_languages(empty(spark)).count() == 0
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 
@@ -563,8 +619,42 @@ def test_pipeline(spark):
 
     out = corpus_pipeline.run(spark, DATA).collect()
     docs = {r.doc_id: r.text for r in small(spark).collect()}
-    own = classes(list(docs.items()), 5, 80)
-    first = {i for i, (_, root) in own.items() if root == i or not own[i][0]}
-    leaked = {r.doc_id for r in decontaminate.op3_benchmark_decontamination(spark, DATA).collect()}
-    und = {i for i, t in docs.items() if not re.search(r"[^\W\d_]", t or "")}
-    assert {r.doc_id for r in out} == first - leaked - und and all(r.decoded for r in out)
+    known = language.label(small(spark), language.fit(small(spark))).filter(f"lang_pred <> 'und' and score >= {language.LEAST_SCORE}")
+    kept = {r.doc_id: docs[r.doc_id] for r in known.collect()}
+    first = {i for i, n, root in classes(list(kept.items()), 5, 80) if root == i or not n}
+    items = [r.text for r in small(spark, "benchmark").collect()]
+    held = {i for i in first if any(t in docs[i] for t in items)}
+    ids = {r.doc_id for r in out}
+    assert ids == first - held and all(r.decoded for r in out)
+    # Planted secrets are in no text that the samples decode to.
+    text = {r.doc_id: r.text for r in pieces.decode(spark.createDataFrame(out)).collect()}
+    assert set(text) == ids and all(not any(secrets.scan(t)) for t in text.values())
+
+
+CLASHES = ("bitmap", "gone", "has_letter", "predicted", "probability", "bad", "row", "doc", "rep")
+
+
+@pytest.mark.parametrize("name", ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "sentencepiece"])
+def test_stages_take_awkward_tables(spark, name):
+    """Nulls, empty and long texts, repeated rows, an empty table, no labels, and columns with names like the stages' own."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)[name]
+    df = frame(spark)
+    for c in CLASHES:
+        df = df.withColumn(c, F.lit(f"own {c}"))
+    for table in (df, df.withColumn("lang", F.lit(None).cast("string")), df.limit(0)):
+        out = stage(spark, table, DATA)
+        if name == "sentencepiece":
+            assert {r.doc_id for r in out.collect()} == {r.doc_id for r in table.collect()}
+            continue
+        got = out.collect()
+        assert out.columns == table.columns and all(r.bitmap == "own bitmap" and r.rep == "own rep" for r in got)
+        before = {r.doc_id for r in table.collect()}
+        after = {r.doc_id for r in got}
+        if name == "language_id" and any(r.lang for r in table.collect()):
+            assert after == before - {0, 1, 2, 4} and all(r.lang for r in got) and sum(r.doc_id == 5 for r in got) == 2
+        elif name == "ngram_jaccard_join":
+            assert not before or after == before - {6, 7, 8, 12} and sum(r.doc_id == 5 for r in got) == 2
+        else:
+            assert sorted(map(repr, got)) == sorted(map(repr, table.collect()))
