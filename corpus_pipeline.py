@@ -6,23 +6,19 @@ as Parquet and reread as the next one's documents. All but the last return the c
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from planweave.llm.common import read, shared_dir
+from planweave.llm.common import new_path, read, remove, scope, write
 from planweave.llm.decontaminate import drop_contaminated
-from planweave.llm.language import UNKNOWN, fit, label
+from planweave.llm.language import keep_languages
 from planweave.llm.ngram_join import drop_near_copies
 from planweave.llm.pieces import encode
 from planweave.llm.secrets import redact_secrets
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in whose text a language is found; texts without letters go."""
-    found = label(docs, fit(docs), ("_language", "_score", "_agreement"))
-    return found.filter(F.col("_language") != UNKNOWN).select(docs.columns)
+    """Documents in a language that the network knows, by its probability; where ``lang`` is null it becomes the predicted one."""
+    return keep_languages(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,9 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. Tables that a stage stores on its way, and its input, are removed when it is done."""
+    docs, before = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = new_path(spark, f"pipeline-{name}")
+        with scope(spark, *before):
+            write(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
+        remove(spark, *before)
+        before = [path]
     return docs
