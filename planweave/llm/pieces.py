@@ -194,15 +194,16 @@ class Lattice:
         return flat, begin, logp
 
     def sample_without(self, unit: int, taken: list[tuple[int, ...]], draw) -> tuple[tuple[int, ...], float]:
-        """A segmentation of a unit that is none of ``taken``, by exact masses, and its log probability."""
-        v, path, logp = int(self.starts[unit]), (), 0.0
+        """A segmentation of a unit that is none of ``taken``, by exact masses, and its log probability; each node on the way is looked at once."""
+        known = Taken(self, int(self.starts[unit]), taken)
+        v, path, logp, live = int(self.starts[unit]), [], 0.0, list(range(len(taken)))
         while v >= 0:
             lo = int(self.first[v])
-            hi = lo + int(self.count[v])
+            hi, depth = lo + int(self.count[v]), len(path)
             piece, to, edge = self.piece[lo:hi].tolist(), self.to[lo:hi].tolist(), self.logp[lo:hi].tolist()
-            ahead = [[t for t in taken if t[: len(path) + 1] == (*path, x)] for x in piece]
-            spent = [bool(own) and (w < 0 or self._only(w, [t[len(path) + 1 :] for t in own])) for own, w in zip(ahead, to, strict=True)]
-            masses = [0.0 if gone else max(math.exp(e) - sum(self._rest(v, t[len(path) :]) for t in own), 0.0) for own, gone, e in zip(ahead, spent, edge, strict=True)]
+            ahead = [[i for i in live if taken[i][depth] == x] for x in piece] if live else [[]] * len(piece)
+            spent = [bool(own) and known.all_ways(own, depth + 1) for own in ahead]
+            masses = [0.0 if gone else max(math.exp(e) - sum(math.exp(known.rest[i][depth]) for i in own), 0.0) for own, gone, e in zip(ahead, spent, edge, strict=True)]
             if sum(masses) <= 0:  # what is left is below the precision of floats: any edge that isn't exhausted
                 masses = [0.0 if gone else 1.0 for gone in spent]
             u, at = draw() * sum(masses), 0
@@ -211,26 +212,54 @@ class Lattice:
                 at += 1
             while masses[at] == 0.0:
                 at -= 1
-            path, logp, v = (*path, piece[at]), logp + edge[at], to[at]
-            taken = [t for t in taken if t[: len(path)] == path]
-        return path, logp
-
-    def _rest(self, v: int, tail: tuple[int, ...]) -> float:
-        """Conditional probability, from node v on, of the pieces ``tail``."""
-        logp = 0.0
-        for x in tail:
-            lo = int(self.first[v])
-            e = lo + self.piece[lo : lo + int(self.count[v])].tolist().index(x)
-            logp, v = logp + float(self.logp[e]), int(self.to[e])
-        return math.exp(logp)
-
-    def _only(self, v: int, tails: list[tuple[int, ...]]) -> bool:
-        """Whether ``tails`` are all the ways from node v to the end."""
-        for e in range(int(self.first[v]), int(self.first[v] + self.count[v])):
-            own = [t[1:] for t in tails if t and t[0] == self.piece[e]]
-            if not own or self.to[e] >= 0 and not self._only(int(self.to[e]), own):
-                return False
-        return True
+            path.append(piece[at])
+            logp, v, live = logp + edge[at], to[at], ahead[at]
+        return tuple(path), logp
+
+    def mass(self, unit: int, taken: list[tuple[int, ...]]) -> tuple[float, bool]:
+        """The probability of some segmentations of a unit, and whether there are no others."""
+        known = Taken(self, int(self.starts[unit]), taken)
+        return sum(math.exp(x[0]) for x in known.rest), known.all_ways(list(range(len(taken))), 0)
+
+
+class Taken:
+    """Segmentations of a unit from node v on: log probabilities of what follows each step, and where the ways part."""
+
+    def __init__(self, lattice: Lattice, v: int, taken: list[tuple[int, ...]]):
+        self.taken, self.counts, self.rest, self.lone, self.known = taken, [], [], [], {}
+        for t in taken:
+            at, counts, logp = v, [], []
+            for x in t:
+                lo, n = int(lattice.first[at]), int(lattice.count[at])
+                e = lo + lattice.piece[lo : lo + n].tolist().index(x)
+                counts.append(n)
+                logp.append(float(lattice.logp[e]))
+                at = int(lattice.to[e])
+            self.counts.append(counts)
+            rest, lone = [0.0], [len(t)]
+            for n, w in zip(reversed(counts), reversed(logp), strict=True):
+                rest.append(rest[-1] + w)
+                lone.append(lone[-1] if n == 1 else len(t) - len(lone))
+            self.rest.append(rest[::-1])
+            #: The first step from here on at which there are other ways; the length if there is none.
+            self.lone.append(lone[::-1])
+
+    def all_ways(self, live: list[int], depth: int) -> bool:
+        """Whether the segmentations ``live``, which agree before ``depth``, are all there are from there on."""
+        if len(live) == 1:
+            return self.lone[live[0]][depth] == len(self.taken[live[0]])
+        name = tuple(live)
+        if name not in self.known:
+            first, part = self.taken[live[0]], depth
+            while all(self.taken[i][part] == first[part] for i in live):
+                part += 1
+            groups: dict[int, list[int]] = {}
+            for i in live:
+                groups.setdefault(self.taken[i][part], []).append(i)
+            full = len(groups) == self.counts[live[0]][part] and all(self.all_ways(g, part + 1) for g in groups.values())
+            self.known[name] = part, full
+        part, full = self.known[name]
+        return full and self.lone[live[0]][depth] >= part
 
 
 def _log1mexp(x: np.ndarray) -> np.ndarray:
@@ -328,8 +357,7 @@ def segment(model: Pieces, keys: np.ndarray, texts: list[bytes], k: int = SAMPLE
             new_ids = np.concatenate([ids[: begin[j]], np.array(own, np.int32), flat[fresh[a] : fresh[b]]])
             new_begin = np.concatenate([begin[: j + 1], fresh[a : b + 1] - fresh[a] + begin[j] + len(own)])
             new_logp = np.concatenate([logp[:j], [own_logp], fresh_logp[a:b]])
-            gone = sum(lattice._rest(int(lattice.starts[units[j]]), t) for t in (*known, own))
-            every = lattice._only(int(lattice.starts[units[j]]), [*known, own])
+            gone, every = lattice.mass(int(units[j]), [*known, own])
             add(new_ids, new_begin, new_logp, value, j, (known, -np.inf if every else float(np.log(max(1 - gone, 1e-300)))), p)
         yield [(s[0], s[3], s[4], float(-np.expm1(-np.exp(min(s[3] - kappa, 700.0)))) if kappa > -np.inf else 1.0) for s in samples]
 
@@ -376,7 +404,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sample"), pa.array(model.texts(batch.column("ids")), pa.string())], ["doc_id", "sample", "text"])
 
-    return encoded.select("doc_id", "sample", "ids").mapInArrow(run, "doc_id long, sample long, text string")
+    return encoded.select("doc_id", "sample", "ids").mapInArrow(released(run), "doc_id long, sample long, text string")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

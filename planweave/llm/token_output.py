@@ -12,10 +12,11 @@ as one zstandard frame with a dictionary that was trained on serialised id array
 
 Spark's own writers commit these files, so lost executors leave no half-written output.
 
-Defined cases: a null or empty text gives the end id alone; rows with a null doc_id are left out (they have no place in
-the order); repeated doc_ids are all kept, next to each other; an empty table gives empty files; other columns are
-ignored. The dictionary is trained on at most ``TRAIN_DOCS`` documents (the lowest hashes of doc_id), and where these
-are too few to train on it is empty, which zstandard treats as plain compression.
+Defined cases: a null or empty text gives the end id alone; rows with a null doc_id stand before all others; repeated
+doc_ids are all kept, next to each other; an empty table gives empty files; other columns are
+ignored. The dictionary is trained on at most ``TRAIN_DOCS`` documents (the lowest hashes of doc_id), ``TRAIN_BYTES`` of
+each from a hashed place in its text, and where these are too few to train on it is empty, which zstandard treats as plain
+compression.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_text, read, shared_dir, store
+from .common import discard, ids_and_text, new_path, read, released, store
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 #: Documents the dictionary is trained on, at most, bytes of ids taken of each, and the dictionary's size.
@@ -124,10 +125,12 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A zstandard dictionary from serialised ids of at most TRAIN_DOCS documents."""
     import zstandard
 
-    # Ids first: a top-k of texts would send as many texts from every task.
-    ids = [r[0] for r in docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).collect()]
-    rows = docs.filter(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).select(F.substring("text", 1, TRAIN_BYTES)).limit(TRAIN_DOCS).collect()
-    samples = [x[:TRAIN_BYTES] for x in encoder(path).encode([r[0] for r in rows])]
+    # Ids first: a top-k of texts would send as many texts from every task. A document of many ids gives a part of its text.
+    ids = [r[0] for r in docs.filter("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).collect()]
+    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.length("text") - TRAIN_BYTES + 1)).cast("int")
+    rows = docs.filter(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).select("doc_id", F.substring("text", place + 1, F.lit(TRAIN_BYTES)).alias("text")).limit(TRAIN_DOCS).collect()
+    rows.sort(key=tuple)
+    samples = [x[:TRAIN_BYTES] for x in encoder(path).encode([r.text for r in rows])]
     try:
         return zstandard.train_dictionary(DICT_BYTES, [x for x in samples if x]).as_bytes()
     except zstandard.ZstdError:
@@ -149,7 +152,7 @@ def decompressor(dictionary: bytes):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> None:
     """Encode ``docs`` (doc_id, text) into a dataset at ``path``."""
     spark, model = docs.sparkSession, tokenizer or tokenizer_path()
-    docs = ids_and_text(docs).filter("doc_id is not null")
+    docs = ids_and_text(docs)
     dictionary = train_dictionary(docs, model)
     digest = hashlib.sha256(dictionary).hexdigest()
     end = np.array([end_id], "<u4").tobytes()
@@ -163,8 +166,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([squeeze.compress(x) for x in ids], pa.binary())], ["doc_id", "n_tokens", "frame"])
 
     # Written once before the range exchange, which reads its input twice: to find the bounds and to deal out the rows.
-    framed = store(docs.mapInArrow(frames, "doc_id long, n_tokens long, frame binary"), "frames")
-    ordered = framed.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("frame")).withColumn("shard", F.spark_partition_id())
+    framed = store(docs.mapInArrow(released(frames), "doc_id long, n_tokens long, frame binary"), "frames")
+    ordered = framed.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("frame")).withColumn("shard", F.spark_partition_id())
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, at, start = [], 0, 0, 0
@@ -194,6 +197,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     schema = pa.schema({"shard": pa.int32(), "segment": pa.int32(), "dict_sha256": pa.string(), "doc_ids": longs, "offsets": longs, "n_tokens": longs, "starts": longs, "frames": pa.binary()})
     ddl = "shard int, segment int, dict_sha256 string, doc_ids array<long>, offsets array<long>, n_tokens array<long>, starts array<long>, frames binary"
     ordered.mapInArrow(segments, ddl).write.option("compression", "none").parquet(f"{path}/segments")
+    discard(framed)
     # As many rows as shards; the order of shards is the order of doc_ids.
     per = (
         spark.read.parquet(f"{path}/segments").groupBy("shard")
@@ -216,12 +220,19 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
     head = spark.read.parquet(f"{path}/dictionary").first()
     dictionary, digest = bytes(head.dictionary), head.dict_sha256
     segments = spark.read.parquet(f"{path}/segments")
-    wanted = None if doc_ids is None else frozenset(doc_ids)
+    wanted = None if doc_ids is None else F.lit(sorted(set(doc_ids))).cast("array<long>")
     if wanted is not None:
-        segments = segments.filter(F.arrays_overlap("doc_ids", F.lit(sorted(wanted)).cast("array<long>")))
+        segments = segments.filter(F.arrays_overlap("doc_ids", wanted))
     # One row for each shard: as many as write tasks, a few bytes each.
     segments = segments.join(F.broadcast(spark.read.parquet(f"{path}/shards").select("shard", "base")), "shard")
 
+    segments = segments.select("shard", "segment", "dict_sha256", "doc_ids", "offsets", "starts", "frames", "base")
+    if wanted is not None:  # segments of one document, which hold its frame alone
+        one = segments.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("doc_ids") - 1))).filter(F.array_contains(wanted, F.get("doc_ids", "i")))
+        lo, hi = F.get("offsets", "i"), F.get("offsets", F.col("i") + 1)
+        frame = F.substring("frames", (lo + 1).cast("int"), (hi - lo).cast("int"))
+        segments = one.select("shard", "segment", "dict_sha256", F.array(F.get("doc_ids", "i")).alias("doc_ids"), F.array(F.lit(0).cast("long"), hi - lo).alias("offsets"), F.array(F.get("starts", "i")).alias("starts"), frame.alias("frames"), "base")
+
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = decompressor(dictionary)
         for batch in batches:
@@ -229,22 +240,17 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
                 if s["dict_sha256"] != digest:
                     raise ValueError(f"segment {s['segment']} of shard {s['shard']} was written with another dictionary")
                 out = []
-                for i, doc_id in enumerate(s["doc_ids"]):
-                    if wanted is None or doc_id in wanted:
-                        raw = expand.decompress(s["frames"][s["offsets"][i] : s["offsets"][i + 1]])
-                        out.append((doc_id, s["base"] + s["starts"][i], len(raw) // 4, zlib.crc32(raw) if digests else np.frombuffer(raw, "<u4").astype(np.int64)))
-                if out:
-                    cols = list(zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.int64() if digests else pa.list_(pa.int64()))], names)
+                for doc_id, lo, hi, start in zip(s["doc_ids"], s["offsets"][:-1], s["offsets"][1:], s["starts"], strict=True):
+                    raw = expand.decompress(s["frames"][lo:hi])
+                    out.append((doc_id, s["base"] + start, len(raw) // 4, zlib.crc32(raw) if digests else np.frombuffer(raw, "<u4").astype(np.int64)))
+                cols = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.int64() if digests else pa.list_(pa.int64()))], names)
 
     names = ["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"]
-    small = segments.select("shard", "segment", "dict_sha256", "doc_ids", "offsets", "starts", "frames", "base")
-    return small.mapInArrow(unpack, f"doc_id long, start long, n_tokens long, {names[3]} {'long' if digests else 'array<long>'}")
+    return segments.mapInArrow(released(unpack), f"doc_id long, start long, n_tokens long, {names[3]} {'long' if digests else 'array<long>'}")
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    path = new_path(spark, "tokens")
     write_tokens(read(spark, sf_dir, "documents"), path)
     return read_tokens(spark, path, digests=True)

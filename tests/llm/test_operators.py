@@ -372,6 +372,22 @@ def test_pieces_distribution():
     assert all(abs(second[a, b] / n - p[a] * p[b] / (1 - p[a])) < 0.04 for a in p for b in p if a != b)
 
 
+def test_pieces_of_a_long_unit():
+    """A word without an end: distinct samples, and time that grows with the text."""
+    import time
+
+    import public_tokenizers
+
+    model, seconds = pieces.Pieces(str(public_tokenizers.path(pieces.MODEL))), []
+    for n in (20_000, 80_000):
+        text = bytes(np.random.default_rng(1).integers(97, 123, n).astype(np.uint8))
+        began = time.process_time()
+        (samples,) = pieces.segment(model, np.zeros(1, np.uint64), [text], 3)
+        seconds.append(time.process_time() - began)
+        assert len({tuple(x[0]) for x in samples}) == 3 and all(model.decode(x[0]).encode() == text for x in samples)
+    assert seconds[1] < 10 * seconds[0]
+
+
 def test_pieces_exhausted_and_seeded(spark):
     import public_tokenizers
 
@@ -475,15 +491,28 @@ def test_tokens_round_trip(spark, tmp_path):
     for k, df in enumerate((small(spark), frame(spark))):
         path = f"file://{tmp_path}/{k}"
         token_output.write_tokens(df, path)
-        docs = sorted((r.doc_id, r.text or "") for r in df.collect() if r.doc_id is not None)
+        docs = sorted(((r.doc_id, r.text or "") for r in df.collect()), key=lambda d: (d[0] is not None, d[0] or 0))
         got = sorted(token_output.read_tokens(spark, path).collect(), key=lambda r: r.start)
         at = 0
         for (i, t), r in zip(docs, got, strict=True):
             assert (r.doc_id, r.start, r.n_tokens) == (i, at, len(r.ids))
             assert r.ids == [*model.encode(t, add_special_tokens=False).ids, 2]
             at += r.n_tokens
-        one = token_output.read_tokens(spark, path, [docs[3][0]]).collect()
-        assert [r.ids for r in one] == [got[3].ids]
+        for some in ([docs[3][0]], [docs[-1][0], docs[4][0], -5], []):
+            one = token_output.read_tokens(spark, path, some).collect()
+            assert sorted((r.doc_id, r.start, r.ids) for r in one) == sorted((r.doc_id, r.start, r.ids) for r in got if r.doc_id in some)
+
+
+def test_tokens_query(spark):
+    """All columns of the query, from the whole texts."""
+    from tokenizers import Tokenizer
+
+    model, at, want = Tokenizer.from_file(token_output.tokenizer_path()), 0, []
+    for r in small(spark).orderBy("doc_id").collect():
+        ids = [*model.encode(r.text or "", add_special_tokens=False).ids, 2]
+        want.append((r.doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, token_output.op7_token_output(spark, DATA).collect())) == want
 
 
 def test_tokens_empty(spark, tmp_path):
