@@ -1,10 +1,12 @@
 """License scans as an exact set-similarity join (operator 8).
 
-Text blocks (lines) and license templates are sets of words. A block carries a template if it holds at least
-``containment`` of the template's words. All such pairs are found exactly: words are ordered by how many documents hold
-them, over all documents, rarest first; a block that meets the threshold must hold one of a template's first
-``size - needed + 1`` words (prefix filter), must have as many words as are needed (length filter), and while the words
-are matched in this order what is left must still suffice (positional filter).
+License templates are sets of words, and text blocks are windows of words that begin with a word of the template and have
+``STRETCH`` words for each of its words; they run over line ends, as notices are wrapped. A block carries a template if
+it holds at least ``containment`` of the template's words, and the words that tell the template from its like. All such
+pairs are found exactly: words are ordered by how many documents hold them, over all documents, rarest first; a block
+that meets the threshold must hold one of a template's first ``size - needed + 1`` words (prefix filter), must have as
+many of its words around as are needed (length filter), and while the words are matched in this order what is left must
+still suffice (positional filter). Of blocks of one template that overlap, the first of those that hold most is reported.
 
 Defined cases: a null or empty text has no words and no labels; repeated rows give repeated results; an empty table
 gives none; words tie in frequency by their spelling; other columns are ignored.
@@ -13,6 +15,7 @@ gives none; words tie in frequency by their spelling; other columns are ignored.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,32 +23,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_text, read
+from .common import ids_and_text, read, released
 from .scan import ALNUM_WORD, LOWER_TABLE, Chunk, U, per_chunk
 
 CONTAINMENT = 0.8
+#: A block is so many words for each word of a template (rounded up): a notice with some words put in.
+STRETCH = 1.5
 #: The contract's phrases and labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Sentences that public licenses tell their users to write, with labels of our own.
+#: Sentences that public licenses tell their users to write, with labels of our own, and the words that tell a short one from its like.
 TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
-    ("gpl-2.0", "licensed under the gnu general public license version 2"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
-    ("agpl", "licensed under the gnu affero general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license"),
-    ("cc-by-4.0", "licensed under cc by 4 0"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
-    ("cc-by-nd-4.0", "licensed under cc by nd 4 0"),
-    ("cc-by", "licensed under a creative commons attribution international license"),
-    ("cc0", "dedicated to the public domain under cc0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mit", "released under the mit license", "mit"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ""),
+    ("apache-2.0", "licensed under the apache license version 2 0", "apache 2"),
+    ("apache-2.0", "you may not use this file except in compliance with the license", "compliance except"),
+    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", "general 3"),
+    ("gpl-2.0", "licensed under the gnu general public license version 2", "general 2"),
+    ("lgpl", "licensed under the gnu lesser general public license", "lesser"),
+    ("agpl", "licensed under the gnu affero general public license", "affero"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution binary"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "fee"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license", "mozilla"),
+    ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4"),
+    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc nc 4"),
+    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc sa 4"),
+    ("cc-by-nd-4.0", "licensed under cc by nd 4 0", "cc nd 4"),
+    ("cc-by", "licensed under a creative commons attribution international license", "creative attribution"),
+    ("cc0", "dedicated to the public domain under cc0", "cc0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
 )
 
 
@@ -86,21 +91,28 @@ def document_frequency(docs: DataFrame, words: list[str]) -> dict[str, int]:
         yield pa.RecordBatch.from_arrays([pa.array(range(len(words)), pa.int32()), pa.array(total)], ["word", "n"])
 
     # As many rows as the templates have words.
-    return {words[r.word]: r.n for r in docs.mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    return {words[r.word]: r.n for r in docs.mapInArrow(released(run), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+
+
+def block_words(template: str) -> int:
+    """How many words a block has at most."""
+    return math.ceil(STRETCH * len(template.split()))
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=None, containment: float = CONTAINMENT) -> DataFrame:
-    """doc_id, n_words, places of phrases, and ``blocks``: (label, line, first word, containment) of each match."""
+    """doc_id, n_words, places of phrases, and ``blocks``: (label, template, line, first word, containment) of each match."""
     docs = ids_and_text(docs)
     phrases = PHRASES if phrases is None else phrases
-    words = sorted({w for _, t in templates for w in t.split()} | {w for p in phrases for w in p.split()})
+    words = sorted({w for _, t, _ in templates for w in t.split()} | {w for p in phrases for w in p.split()})
     frequency = document_frequency(docs, words)
     index = {w: i for i, w in enumerate(words)}
     by_rarity = sorted(words, key=lambda w: (frequency.get(w, 0), w))
     rank = np.zeros(len(words), np.int64)
     rank[[index[w] for w in by_rarity]] = np.arange(len(words))
-    sets = [sorted({int(rank[index[w]]) for w in t.split()}) for _, t in templates]
+    sets = [sorted({int(rank[index[w]]) for w in t.split()}) for _, t, _ in templates]
+    asked = [{int(rank[index[w]]) for w in own.split()} for *_, own in templates]
     needed = [math.ceil(containment * len(s) - 1e-9) for s in sets]
+    spans = [block_words(t) for _, t, _ in templates]
     opens: dict[int, list[int]] = {}
     for k, (s, o) in enumerate(zip(sets, needed, strict=True)):
         for r in s[: len(s) - o + 1]:
@@ -108,22 +120,27 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=None, containmen
     is_open = np.zeros(len(words), bool)
     is_open[list(opens)] = True
     spelled = [([index[w] for w in p.split()], label) for p, label in phrases.items()]
-    names = [label for label, _ in templates]
-
-    def matches(ranks: list[int], n_words: int) -> Iterator[tuple[int, float]]:
-        """Templates that a block holds; ``ranks``: its known words, distinct, in order of rarity."""
-        have = set(ranks)
-        for k in {k for r in ranks for k in opens.get(r, ())}:
-            s, o = sets[k], needed[k]
-            if n_words < o:
+    names = [label for label, *_ in templates]
+
+    def matches(ranks: list[int], at: list[int], i: int) -> Iterator[tuple[int, int, float]]:
+        """(template, first word, containment) of blocks that hold the known word ``i``, one of a prefix; ``ranks`` and their places: a document's known words."""
+        for k in opens[ranks[i]]:
+            s, o, size = set(sets[k]), needed[k], spans[k]
+            lo, hi = bisect_right(at, at[i] - size), bisect_left(at, at[i] + size)
+            # Length filter: words around that are the template's.
+            if sum(r in s for r in ranks[lo:hi]) < o:
                 continue
-            got = 0
-            for i, r in enumerate(s):
-                if got + len(s) - i < o:
-                    break
-                got += r in have
-            if got >= o:
-                yield k, got / len(s)
+            for first in range(lo, i + 1):
+                if ranks[first] not in s:
+                    continue
+                end = bisect_left(at, at[first] + size)
+                have, got = {r for r in ranks[first:end] if r in s}, 0
+                for n, r in enumerate(sets[k]):  # positional filter: rarest first, until too few can follow
+                    if got + len(s) - n < o:
+                        break
+                    got += r in have
+                if got >= o and asked[k] <= have:
+                    yield k, at[first], got / len(s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(words)
@@ -143,19 +160,27 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=None, containmen
                     places[doc[p]].append({"label": label, "word": p - int(first[doc[p]])})
             blocks: list[list] = [[] for _ in range(chunk.n)]
             lines, _, line_first = chunk.lines()
-            line_of = np.searchsorted(lines, starts[at], "right") - 1
-            per_line = np.searchsorted(starts, np.append(lines, len(chunk.buf)))
-            for line in np.unique(line_of[is_open[rank[which]]]).tolist():
-                lo, hi = np.searchsorted(line_of, [line, line + 1])
-                ranks = np.unique(rank[which[lo:hi]]).tolist()
-                d = int(np.searchsorted(line_first, line, "right")) - 1
-                for k, c in matches(ranks, int(per_line[line + 1] - per_line[line])):
-                    blocks[d].append({"label": names[k], "template": k, "line": line - int(line_first[d]), "word": int(per_line[line] - first[d]), "containment": c})
+            bound = np.searchsorted(at, first)
+            owner = doc[at]
+            ranked = rank[which]
+            for d in np.unique(owner[is_open[ranked]]).tolist():
+                lo, hi = int(bound[d]), int(bound[d + 1])
+                ranks, spots = ranked[lo:hi].tolist(), at[lo:hi].tolist()
+                found = {(k, p): c for i in np.flatnonzero(is_open[ranked[lo:hi]]).tolist() for k, p, c in matches(ranks, spots, i)}
+                last: dict[int, tuple[int, float]] = {}
+                for k, p in sorted(found):  # of blocks that overlap, the first of those that hold most
+                    if k in last and p < last[k][0] + spans[k] and found[k, p] <= last[k][1]:
+                        continue
+                    if k in last and p < last[k][0] + spans[k]:
+                        blocks[d].pop()
+                    last[k] = p, found[k, p]
+                    line = int(np.searchsorted(lines, starts[p], "right")) - 1
+                    blocks[d].append({"label": names[k], "template": k, "line": line - int(line_first[d]), "word": p - int(first[d]), "containment": found[k, p]})
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(first)), pa.array(places, place), pa.array(blocks, block)], ["doc_id", "n_words", "places", "blocks"])
 
     place = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
     block = pa.list_(pa.struct([("label", pa.string()), ("template", pa.int32()), ("line", pa.int64()), ("word", pa.int64()), ("containment", pa.float64())]))
-    return docs.mapInArrow(run, "doc_id long, n_words long, places array<struct<label:string,word:long>>, blocks array<struct<label:string,template:int,line:long,word:long,containment:double>>")
+    return docs.mapInArrow(released(run), "doc_id long, n_words long, places array<struct<label:string,word:long>>, blocks array<struct<label:string,template:int,line:long,word:long,containment:double>>")
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -537,18 +537,35 @@ def test_licenses(spark):
             w = re.findall(pattern, text)
             places = sorted((label, i) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.encode().split())
             assert r.n_words == len(w) and sorted((p.label, p.word) for p in r.places) == places
-            want = set()
-            for n, line in enumerate(text.split(b"\n")):
-                block = set(re.findall(pattern, line))
-                want |= {(k, n) for k, (_, t) in enumerate(licenses.TEMPLATES) if len(set(t.encode().split()) & block) >= 0.8 * len(set(t.split()))}
-            assert {(b.template, b.line) for b in r.blocks} == want
+            want = {}
+            for k, (_, t, own) in enumerate(licenses.TEMPLATES):
+                t, own, size = set(t.encode().split()), set(own.encode().split()), licenses.block_words(t)
+                for i in range(len(w)):
+                    held = t & set(w[i : i + size])
+                    if w[i] in t and len(held) >= 0.8 * len(t) and own <= held:
+                        want.setdefault(k, {})[i] = len(held) / len(t)
+            got = {}
+            for x in r.blocks:
+                got.setdefault(x.template, {})[x.word] = x.containment
+                assert text.split(b"\n")[x.line].count(w[x.word]) and len(re.findall(pattern, b"\n".join(text.split(b"\n")[: x.line]))) <= x.word
+            assert got.keys() == want.keys()
+            for k, found in got.items():
+                size = licenses.block_words(licenses.TEMPLATES[k][1])
+                assert all(want[k][i] == c for i, c in found.items()) and max(found.values()) == max(want[k].values())
+                assert all(any(abs(i - j) < 2 * size and c >= want[k][i] for j, c in found.items()) for i in want[k])
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
 
 def test_licenses_planted(spark):
-    df = spark.createDataFrame([(1, "x\nReleased under the MIT License.\ny"), (2, "Licensed under CC BY-NC 4.0."), (3, "the license of the cat")], "doc_id long, text string")
+    wrapped = "/* Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the 'Software'), to deal */"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    texts = [
+        "x\nReleased under the MIT License.\ny", "Licensed under CC BY-NC 4.0.", "the license of the cat", wrapped, bsd, "Licensed under CC BY 4.0", "released under the GNU General Public License",
+        "the license " + "word " * 40 + "released " + "word " * 40 + "under mit", "Licensed under the Apache License, Version 2.0 (the License);", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: {b.label for b in r.blocks} for r in licenses.scan_licenses(df).collect()}
-    assert got[1] == {"mit"} and "cc-by-nc-4.0" in got[2] and got[3] == set()
+    assert got == {0: {"mit"}, 1: {"cc-by-nc-4.0", "cc-by-4.0"}, 2: set(), 3: {"mit"}, 4: {"bsd"}, 5: {"cc-by-4.0"}, 6: set(), 7: set(), 8: {"apache-2.0"}, 9: set()}
 
 
 # 9 ------------------------------------------------------------------------------------------------------------------
