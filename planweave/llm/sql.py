@@ -50,7 +50,7 @@ phrase(label, p) AS (SELECT label, string_split(p, ' ') FROM (VALUES {_values((l
 place AS (SELECT doc_id, label, i - 1 AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w) q JOIN phrase ON w[i:i + len(p) - 1] = p),
 base AS (SELECT doc_id, COUNT(*) AS n_base, MIN(word) AS first_word, MAX(word) AS last_word, list_distinct(list(label)) AS labels FROM place GROUP BY doc_id),
 template(label, t, own, size) AS (SELECT label, list_distinct(string_split(t, ' ')), list_filter(string_split(own, ' '), lambda x: x <> ''), size FROM (VALUES {_values((label, t, own, block_words(t)) for label, t, own in TEMPLATES)}) v(label, t, own, size)),
-near AS (SELECT doc_id, w, label, t, own, size FROM w JOIN template ON len(list_intersect(w, t)) >= {CONTAINMENT} * len(t)),
+near AS (SELECT doc_id, w.w, label, template.t, own, size FROM w JOIN template ON len(list_intersect(list_distinct(w.w), template.t)) >= {CONTAINMENT} * len(template.t)),
 part AS (SELECT label, t, own, doc_id, list_distinct(w[i:i + size - 1]) AS s FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM near) q WHERE list_contains(t, w[i])),
 block AS (SELECT doc_id, label, CAST(len(list_intersect(s, t)) AS DOUBLE) / len(t) AS c FROM part WHERE len(list_intersect(s, t)) >= {CONTAINMENT} * len(t) AND len(list_intersect(s, own)) = len(own)),
 own AS (SELECT doc_id, MAX(c) AS c, list_distinct(list(label)) AS labels FROM block GROUP BY doc_id)
