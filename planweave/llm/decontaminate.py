@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation (operator 3).
 
-Texts become tokens (runs of letters and digits, lower-cased). Numbers, a unit behind a number, and names (capitals that
-don't begin a sentence) become typed placeholders, so that a question with other numbers or names has the same
-template. Every window of ``window`` tokens of every text is looked up among the hashed template windows of the
+Texts become tokens (runs of letters and digits, lower-cased). Numbers, a unit behind a number, and names become typed
+placeholders, so that a question with other numbers or names has the same template. Names are words with a capital of any
+script; but not nouns behind a German article, and of words that begin a sentence only those that the benchmark never
+writes in lower case (``Anna has``, not ``The boy has``). Every window of ``window`` tokens of every text is looked up among the hashed template windows of the
 benchmark; hits on one alignment of a text and an item are then checked token by token: what fills the slots of the
 item must correspond one way to what fills those of the text (the same name stays the same name), else the window
 doesn't count. Windows of plain words (lower-cased, without placeholders) are looked up beside them, so that items with
@@ -10,8 +11,9 @@ few literal words and short ones are found as they stand. Every pair of a text a
 item's share that matched. Rows are dropped by ``holds``: by what of the item they hold as it stands, or, with other
 numbers and names, by more of it and more literal words; so a common phrase or form drops nothing.
 
-The benchmark is the stated query set: its windows are sent to the executors in blocks of at most ``BLOCK_WINDOWS``
-(a few ten MB), each block against all rows; a larger benchmark takes more blocks.
+The benchmark is the stated query set: its windows are sent to the executors in blocks of about ``BLOCK_WINDOWS`` (a few
+ten MB), each block against all rows. The driver holds one block at a time; a larger benchmark takes more blocks, and the
+results of each are stored before the next is read.
 
 Defined cases: null or empty texts and items match nothing; items of under ``window`` tokens match as a whole, and
 those of under ``LEAST_TOKENS`` tokens as they stand only. Items of under ``LEAST_TOKENS`` words are reported but drop no
@@ -25,13 +27,14 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_text, read, released
+from .common import discard, ids_and_text, read, released, store
 from .scan import ALNUM_WORD, LOWER_TABLE, Chunk, U, chunks, per_chunk, starts_of_windows, windows
 
 WINDOW, LEAST_LITERALS, LEAST_TOKENS = 8, 4, 4
@@ -44,9 +47,16 @@ UNITS = (
     "kmh mph hz khz mhz ghz w kw kwh v kv a j kj cal kcal pa kpa bar c f k degrees degree"
 ).split()
 
-_DIGIT, _UPPER, _STOP = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+#: Behind these a capital is a noun's, as German writes it; an adjective may stand between.
+ARTICLES = (
+    "der die das den dem des ein eine einen einem einer eines kein keine keinen keinem keiner im am zum zur vom beim ins ans "
+    "mein meine meinen meinem meiner dein deine sein seine seinen seinem seiner ihr ihre ihren ihrem ihrer unser unsere dieser diese dieses diesen diesem jeder jede jedes jeden jedem"
+).split()
+
+_DIGIT, _STOP = np.zeros(256, bool), np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
-_UPPER[0x41:0x5B] = True
+#: Which characters of up to three bytes are capitals.
+_CAPITAL = np.array([chr(c).isupper() for c in range(1 << 16)])
 _STOP[list(b".!?:;\n\"")] = True
 NUMBER, UNIT, NAME = U(11), U(22), U(33)
 
@@ -57,7 +67,22 @@ def _word_hashes(words: list[str]) -> np.ndarray:
     return Chunk(np.frombuffer(b"".join(data), np.uint8), offs, slice(0, len(data))).hashes(offs[:-1], offs[1:], LOWER_TABLE)
 
 
-_UNIT_HASHES = np.sort(_word_hashes(UNITS))
+_UNIT_HASHES, _ARTICLE_HASHES = np.sort(_word_hashes(UNITS)), np.sort(_word_hashes(ARTICLES))
+
+
+def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``h`` are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(h), bool)
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+
+
+def _capital(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether the characters that begin at ``starts`` are capitals; those of four bytes count as none."""
+    at = lambda k: buf[np.minimum(starts + k, len(buf) - 1)].astype(np.int64)
+    one, two = at(0), (at(0) & 0x1F) << 6 | at(1) & 0x3F
+    three = (at(0) & 0x0F) << 12 | (at(1) & 0x3F) << 6 | at(2) & 0x3F
+    return _CAPITAL[np.select([one < 0x80, one >> 5 == 6, one >> 4 == 14], [one, two, three], 0)]
 
 
 @dataclass
@@ -75,7 +100,15 @@ class Tokens:
     of: np.ndarray
 
 
-def canonical(chunk: Chunk) -> Tokens:
+def lower_words(chunk: Chunk) -> np.ndarray:
+    """Sorted hashes of the words that stand somewhere without a capital."""
+    starts, ends, _ = chunk.spans(ALNUM_WORD)
+    low = ~_capital(chunk.buf, starts) if len(starts) else np.zeros(0, bool)
+    return np.unique(chunk.hashes(starts, ends, LOWER_TABLE)[low])
+
+
+def canonical(chunk: Chunk, common: np.ndarray) -> Tokens:
+    """Tokens; ``common``: sorted hashes of the words that are no names where they begin a sentence."""
     buf = chunk.buf
     starts, ends, first = chunk.spans(ALNUM_WORD)
     if not len(starts):
@@ -91,16 +124,17 @@ def canonical(chunk: Chunk) -> Tokens:
     gap[0], gap[1:] = 0, starts[1:] - ends[:-1]
     opens = doc_first.copy()
     opens[1:] |= sums[starts[1:]] > sums[ends[:-1]]
-    upper = _UPPER[buf[starts]]
-    wide = np.flatnonzero((buf[starts] == 0xC3) & (ends - starts > 1))
-    upper[wide] = (buf[starts[wide] + 1] >= 0x80) & (buf[starts[wide] + 1] <= 0x9E)
-    name = upper & ~opens & ~number
     plain = value = chunk.hashes(starts, ends, LOWER_TABLE)
+    upper = _capital(buf, starts)
+    # Nouns behind an article, or behind an article and a word without a capital.
+    article, noun = _among(value, _ARTICLE_HASHES), np.zeros(len(starts), bool)
+    noun[1:] = article[:-1]
+    noun[2:] |= article[:-2] & ~upper[1:-1] & ~opens[1:-1] & ~doc_first[1:-1]
+    name = upper & ~number & np.where(opens, ~_among(value, common), ~noun)
     unit = np.zeros(len(starts), bool)
     after = np.flatnonzero(number[:-1] & ~doc_first[1:]) + 1
     if len(after):
-        at = np.minimum(np.searchsorted(_UNIT_HASHES, value[after]), len(_UNIT_HASHES) - 1)
-        unit[after] = (_UNIT_HASHES[at] == value[after]) & ~number[after]
+        unit[after] = _among(value[after], _UNIT_HASHES) & ~number[after]
     name &= ~unit
     # Parts of one number (1,000.5) and of one name (Ada King) are one token.
     joined = np.zeros(len(starts), bool)
@@ -134,6 +168,7 @@ class Index:
 @dataclass
 class Benchmark:
     ids: list
+    common: np.ndarray
     tokens: Tokens
     indexes: list[Index]
     plain: list[Index]
@@ -141,8 +176,9 @@ class Benchmark:
     @staticmethod
     def of(ids: list, texts: list[str | None], window: int = WINDOW, literals: int = LEAST_LITERALS) -> Benchmark:
         (chunk,) = chunks(pa.array(texts, pa.string()), 1 << 40)
-        t = canonical(chunk)
-        return Benchmark(ids, t, _indexes(t.template, t.first, window, LEAST_TOKENS, t.literal, literals), _indexes(t.plain, t.plain_first, window))
+        common = lower_words(chunk)
+        t = canonical(chunk, common)
+        return Benchmark(ids, common, t, _indexes(t.template, t.first, window, LEAST_TOKENS, t.literal, literals), _indexes(t.plain, t.plain_first, window))
 
 
 def _indexes(h: np.ndarray, first: np.ndarray, window: int, least: int = 1, literal: np.ndarray | None = None, literals: int = 0) -> list[Index]:
@@ -209,7 +245,7 @@ def _matches(indexes: list[Index], own: np.ndarray, first: np.ndarray) -> Iterat
 
 def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, bool, bool]]:
     """(row in the chunk, index of the item, item tokens matched, item tokens, whether all slots have the item's own values, ``holds``)."""
-    t, b = canonical(chunk), bench.tokens
+    t, b = canonical(chunk, bench.common), bench.tokens
     found = defaultdict(set)  # (row, item, alignment) -> matched item positions
     for row, p, item, at, k in _matches(bench.indexes, t.template, t.first):
         found[row, item, p - at].add((at, k))
@@ -252,16 +288,17 @@ def hits(chunk: Chunk, bench: Benchmark) -> Iterator[tuple[int, int, int, int, b
             yield row, item, len(matched), size, same, bool(held)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LEAST_LITERALS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LEAST_LITERALS, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """One row for each text and item that match: doc_id, item_id, n_tokens matched, coverage of the item, kind."""
     docs = ids_and_text(docs)
-    blocks = _blocks(benchmark)
 
     def against(ids: list, texts: list) -> DataFrame:
         bench = None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nonlocal bench
+            if not ids:
+                return
             bench = bench or Benchmark.of(ids, texts, window, literals)
             for rows, chunk in per_chunk(batches):
                 own = rows.column(0).to_pylist()
@@ -271,25 +308,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
 
         return docs.mapInArrow(released(run), "doc_id long, item_id long, n_tokens long, coverage double, kind string")
 
-    return reduce(DataFrame.unionAll, [against(*x) for x in blocks] or [docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("coverage"), F.lit("").alias("kind")).filter("false")])
+    blocks = _blocks(benchmark, block_windows)
+    first, second = next(blocks, ([], [])), next(blocks, None)
+    if second is None:
+        return against(*first)
+    return reduce(DataFrame.unionAll, [store(against(*x), "hits") for x in chain([first, second], blocks)])
 
 
-def _blocks(benchmark: DataFrame) -> list[tuple[list, list]]:
-    """Ids and texts of the items, in blocks of about ``BLOCK_WINDOWS`` windows."""
+def _blocks(benchmark: DataFrame, block_windows: int) -> Iterator[tuple[list, list]]:
+    """Ids and texts of the items, in blocks of about ``block_windows`` windows."""
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    blocks, ids, texts, size = [], [], [], 0
+    ids, texts, size = [], [], 0
     for r in items.orderBy("item_id", "text").toLocalIterator():
         ids.append(r.item_id)
         texts.append(r.text)
         size += len(r.text) // 2 + 1
-        if size >= BLOCK_WINDOWS:
-            blocks.append((ids, texts))
+        if size >= block_windows:
+            yield ids, texts
             ids, texts, size = [], [], 0
-    blocks.append((ids, texts))
-    return [x for x in blocks if x[0]]
+    if ids:
+        yield ids, texts
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The rows of ``docs`` whose text ``holds`` no benchmark item, with all their columns; each row is judged by its own text."""
     at, schema = docs.columns.index("text"), docs.schema
 
@@ -307,7 +348,18 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return docs.mapInArrow(released(run), schema)
 
-    return reduce(lambda left, block: without(left, *block), _blocks(benchmark), docs)
+    blocks, left, stored = _blocks(benchmark, block_windows), docs, None
+    block = next(blocks, None)
+    while block is not None:
+        following = next(blocks, None)
+        left = without(left, *block)
+        if following is not None:
+            left, before = store(left, "kept"), stored
+            stored = left
+            if before is not None:
+                discard(before)
+        block = following
+    return left
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -287,6 +287,110 @@ def test_decontamination_few_literals(spark):
     assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {5, 6, 7, 8}
 
 
+WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
+SMALL = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def told_apart(text, common):
+    """Words of a text and its tokens: (template, value, words)."""
+    words, tokens, last, before = [], [], None, []
+    for m in WORD.finditer(text):
+        w, between = m[0].translate(SMALL), text[last : m.start()] if last is not None else None
+        opens = between is None or any(c in between for c in '.!?:;\n"')
+        number, upper = any(c in "0123456789" for c in w), m[0][0].isupper()
+        noun = bool(before) and (before[-1][0] in decontaminate.ARTICLES or len(before) > 1 and before[-2][0] in decontaminate.ARTICLES and not before[-1][1] and not before[-1][2])
+        unit = bool(before) and before[-1][3] == "NUMBER" and w in decontaminate.UNITS and not number
+        kind = "NUMBER" if number else "UNIT" if unit else "NAME" if upper and (w not in common if opens else not noun) else None
+        if tokens and kind in ("NUMBER", "NAME") and before[-1][3] == kind and len(between.encode()) == 1:
+            tokens[-1] = (kind, tokens[-1][1] + between + w, [*tokens[-1][2], len(words)])
+        else:
+            tokens.append((kind or w, w, [len(words)]))
+        before.append((w, upper, opens, kind))
+        words.append(w)
+        last = m.end()
+    return words, tokens
+
+
+def leaks(docs, items):
+    """{(doc, item): (tokens matched, coverage, kind, holds)} by comparing every document with every item."""
+    common = {m[0].translate(SMALL) for t in items.values() for m in WORD.finditer(t) if not m[0][0].isupper()}
+    kinds, out = ("NUMBER", "UNIT", "NAME"), {}
+    told = {i: told_apart(t, common) for i, t in items.items()}
+    for d, text in docs.items():
+        words, tokens = told_apart(text or "", common)
+        for i, (item_words, item) in told.items():
+            matched, exact, same = set(), set(), True
+            k = min(len(item), 8)
+            if len(item) >= 4:
+                ways = {}
+                for at in range(len(item) - k + 1):
+                    form = [t[0] for t in item[at : at + k]]
+                    if sum(x not in kinds for x in form) >= min(4, k):
+                        for p in range(len(tokens) - k + 1):
+                            if [t[0] for t in tokens[p : p + k]] == form:
+                                ways.setdefault(p - at, []).append(at)
+                for shift, spots in ways.items():
+                    there, back, own, own_exact, own_same = {}, {}, set(), set(), True
+                    for at in sorted(spots):
+                        pairs = [(item[j][0], item[j][1], tokens[j + shift][1]) for j in range(at, at + k) if item[j][0] in kinds]
+                        new, new_back, good = dict(there), dict(back), True
+                        for kind, x, y in pairs:
+                            good &= new.setdefault((kind, x), y) == y and (kind == "NUMBER" or new_back.setdefault((kind, y), x) == x)
+                        if good:
+                            there, back = new, new_back
+                            own |= set(range(at, at + k))
+                            own_same &= all(x == y for _, x, y in pairs)
+                            if all(x == y for _, x, y in pairs):
+                                own_exact |= set(range(at, at + k))
+                    if own:
+                        matched, exact, same = matched | own, exact | own_exact, same and own_same
+            k, seen = min(len(item_words), 8), set()
+            for at in range(len(item_words) - k + 1) if k else ():
+                if any(words[p : p + k] == item_words[at : at + k] for p in range(len(words) - k + 1)):
+                    seen |= set(range(at, at + k))
+            whole = {j for j, t in enumerate(item) if set(t[2]) <= seen}
+            matched, exact = matched | whole, exact | whole
+            same = same or matched <= exact
+            if matched:
+                literal = {j for j in matched if item[j][0] not in kinds}
+                held = len(item_words) >= 4 and decontaminate.holds(matched, exact, literal, len(item))
+                out[d, i] = len(matched), len(matched) / len(item), "exact" if same else "reparameterised", held
+    return out
+
+
+CASES = {
+    "Anna has 12 apples and 3 pears in her small basket": "Carl has 15 apples and 8 pears in her small basket",
+    "Анна купила 12 яблок и отдала 5 яблок Борису вчера днём": "Вера купила 17 яблок и отдала 9 яблок Глебу вчера днём",
+    "What is love?": "so we ask: what is love? and go", "3, 5, 8, 13, 21, 34, 55, 89": "3, 5, 8, 13, 21, 34, 55, 89",
+}
+
+
+def test_decontamination_of_names():
+    """Names that begin a sentence or are of another script are slots, German nouns are not."""
+    for item, text in CASES.items():
+        assert len(leaks({0: text}, {0: item})) == 1, item
+    clean = "der Vogel frisst das Korn im Wald von Otto am Morgen", "der Hund frisst das Futter im Garten von Hans am Abend"
+    assert not any(x[3] for x in leaks({0: clean[0]}, {0: clean[1]}).values())
+
+
+@pytest.mark.parametrize("blocks", [1 << 30, 200])
+def test_decontamination_equals_brute_force(spark, blocks):
+    """Both ways: all that a comparison of every pair finds, and nothing else; in one block or several."""
+    docs, items = {r.doc_id: r.text for r in small(spark).collect()}, {r.item_id: r.text for r in small(spark, "benchmark").collect()}
+    if blocks < 1000:  # blocks have their own lower-case words, so the small cases are compared item by item
+        docs, items = {i: t for i, t in enumerate([*CASES.values(), *CASES, ITEM, None, ""])}, dict(enumerate([*CASES, ITEM]))
+        want = {k: v for i, t in items.items() for k, v in leaks(docs, {i: t}).items()}
+        blocks = 1
+    else:
+        docs |= {1000 + i: t for i, t in enumerate([*CASES, *CASES.values(), ITEM.replace("12", "13"), ITEM])}
+        items |= {1000 + i: t for i, t in enumerate([*CASES, ITEM])}
+        want = leaks(docs, items)
+    df, bench = spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_tokens, r.coverage, r.kind) for r in decontaminate.contaminated(df, bench, block_windows=blocks).collect()}
+    assert got == {k: v[:3] for k, v in want.items()} and len(want) > 5
+    assert {r.doc_id for r in decontaminate.drop_contaminated(df, bench, blocks).collect()} == set(docs) - {d for (d, _), v in want.items() if v[3]}
+
+
 def test_decontamination_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(frame(spark), bench).count() == 0
