@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ids_and_text, read
+from .common import ids_and_text, read, released
 from .scan import PLAIN_WORD, Chunk, U, mix, per_chunk, starts_of_windows, windows
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -166,6 +166,8 @@ def measure(chunk: Chunk, vocab: Vocabularies) -> dict[str, np.ndarray]:
         out["token_entropy"] = entropy
         out["entropy_part"] = np.where(n_tokens > 1, entropy / np.log2(n_tokens), 0.0)
     script = _SCRIPT[chunk.buf]
+    marks = np.flatnonzero(chunk.buf[:-1] == 0xE2)  # general punctuation and signs, up to U+2BFF
+    script[marks[chunk.buf[marks + 1] < 0xB0]] = -1
     letters = np.stack([_sums(script == j, offs) for j in range(len(SCRIPTS))])
     out["script"] = np.argmax(letters, axis=0)
     return out
@@ -201,7 +203,7 @@ def quality(docs: DataFrame, bands: dict[str, Band] = BANDS, byte_path: str | No
             yield pa.RecordBatch.from_arrays([rows.column(0), *cols, pa.array([SCRIPTS[i] for i in m["script"]], pa.string()), pa.array(base), pa.array(kept)], ["doc_id", *_LONGS, *_DOUBLES, "script", "base_failed", "kept"])
 
     ddl = ", ".join(["doc_id long", *(f"{c} long" for c in _LONGS), *(f"{c} double" for c in _DOUBLES), "script string, base_failed boolean, kept boolean"])
-    return ids_and_text(docs).mapInArrow(run, ddl)
+    return ids_and_text(docs).mapInArrow(released(run), ddl)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
