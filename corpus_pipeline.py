@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from planweave.llm.common import new_path, read, remove, scope, write
+from planweave.llm.common import new_path, read, remove, scope, store, write
 from planweave.llm.decontaminate import drop_contaminated
 from planweave.llm.language import keep_languages
 from planweave.llm.ngram_join import drop_near_copies
@@ -39,8 +39,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Distinct sampled segmentations of every document, as piece ids with digests and inclusion scores.
 
-    Smaller chunks than alone: the executors' heaps have grown in the stages before."""
-    return encode(docs, digests=True, chunk_bytes=3 << 19)
+    Stored at once, with small batches and chunks: the executors' heaps have grown in the stages before."""
+    return store(encode(docs, digests=True, chunk_bytes=1 << 20), "pieces")
 
 
 STAGES = [
