@@ -38,8 +38,8 @@ MODEL = "piece_bpe_32k.model"
 SAMPLES, SEED = 2, 11
 #: Weight of the piece of rank r: (r + FLAT) ** -POWER.
 POWER, FLAT = 0.6, 50
-#: Bytes of text whose lattices are solved at once: more share more units, a worker needs about 90 MB for each MB.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text whose lattices are solved at once: equal units are solved once, a worker needs about 140 MB for each MB.
+CHUNK_BYTES = 1 << 20
 _WORD = (1 << 64) - 1
 
 
