@@ -64,7 +64,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Distinct sampled segmentations of every document, as piece ids with digests and inclusion scores.
 
     Smaller chunks than alone: the executors' heaps have grown in the stages before."""
-    return encode(docs, digests=True, chunk_bytes=1 << 20)
+    return encode(docs, digests=True, chunk_bytes=1 << 18)
 
 
 STAGES = [
