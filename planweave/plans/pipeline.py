@@ -57,6 +57,7 @@ def _boxes(named: DataFrame) -> DataFrame:
 
 def run_floors(prims: DataFrame, config: Config = Config()) -> Plan:
     """Primitives (floor_id, ord, primitive_id, semantic_id, instance_id, original_type, stroke, role, kind, pts) to regions."""
+    prims = store(prims, "primitives")  # read by seven stages
     lines = prims.filter("kind = 'line'").withColumn("hatching", R.is_hatching("pts", config.hatching) & (F.col("role") == "boundary"))
     walls = lines.filter("role = 'boundary' and not hatching")
     boxes = store(close_openings(prims, config), "openings") if config.door_closing.enabled else None
@@ -68,7 +69,7 @@ def run_floors(prims: DataFrame, config: Config = Config()) -> Plan:
     pieces = store(floors.faces(edges), "faces")
     faces = pieces.filter(F.col("kind") == "face").filter(F.col("area") >= config.polygonization.min_room_area)
     if boxes is not None:
-        hit = R.faces_in_boxes(faces, boxes)
+        hit = store(R.faces_in_boxes(faces, boxes), "hit")
         free = faces.join(hit.select("floor_id", "face_id"), ["floor_id", "face_id"], "left_anti")
     else:
         hit, free = None, faces

@@ -12,6 +12,7 @@ from planweave.operators import relational as R
 from planweave.plans import pipeline
 from planweave.queries import _M, _TYPE, SQL, lined, milli, opening_lines, query, rooms_of, svg_documents_of
 from planweave.sources import generic, svg
+from planweave.storage import store
 
 NO_HOLES = f"array<{G.POINTS}>"
 
@@ -433,7 +434,7 @@ def whole_plan(strokes: DataFrame, sheets: DataFrame) -> pipeline.Plan:
     """The run over whole plans, from their SVG texts on."""
     box = F.format_string("0 0 %.1f %.1f", F.col("wide") + 20, F.col("high") + 20)
     documents = svg_documents_of(strokes.join(sheets.select("floor_id", "wide", "high"), "floor_id"), box)
-    return pipeline.run_floors(svg.primitives(svg.elements(documents)))
+    return pipeline.run_floors(svg.primitives(store(svg.elements(documents), "elements")))
 
 
 #: What stands in a room decides its type, kitchens near a WC are WCs, small square rooms without objects are taken for columns, others are judged by their shape.
