@@ -80,8 +80,12 @@ SELECT floor_id, i, MIN(r) AS root FROM w GROUP BY floor_id, i
 """)
 def geo3(spark, openings):
     e = openings.select("floor_id", F.col("instance_id").alias("i")).distinct()
-    p = e.join(e.select("floor_id", F.col("i").alias("j")), "floor_id").filter("j - i = 100")
-    return floors.components_of_pairs(e, p)
+    return floors.components_of_pairs(e, hundred_apart(e))
+
+
+def hundred_apart(points: DataFrame) -> DataFrame:
+    """Pairs (floor_id, i, j = i + 100) of a floor's points: an equi-join on both, since floors have any number of points."""
+    return points.withColumn("j", F.col("i") + 100).join(points.select("floor_id", F.col("i").alias("j")), ["floor_id", "j"])
 
 
 @query("geo4_snap_endpoints", "grid_edges", "dims", sql=f"SELECT floor_id, CAST(nc * nr AS BIGINT) AS faces, {_M('nc * w * nr * h', 'area', 1)} FROM dims")

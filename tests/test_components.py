@@ -1,9 +1,11 @@
 """Connected components of long chains, of stars and of pairs of points on floors."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
+from planweave import queries_floors
 from planweave.operators import floors
 from planweave.operators.components import components
 
@@ -47,3 +49,11 @@ def test_points_of_floors(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_pairs_of_a_crowded_floor(spark):
+    """200,000 points of one floor: the join has the number as a key, so no row meets its whole floor."""
+    points = spark.range(0, 200_000).select(F.lit(1).cast("long").alias("floor_id"), F.col("id").alias("i"))
+    pairs = queries_floors.hundred_apart(points)
+    assert re.search(r"Join Inner, .*\bj#\d+L = j#\d+L", pairs._jdf.queryExecution().optimizedPlan().toString())
+    assert pairs.agg(F.count("*"), F.min(F.col("j") - F.col("i")), F.max(F.col("j") - F.col("i"))).first() == (199_900, 100, 100)
