@@ -68,12 +68,17 @@ def ring_centroid(ring) -> Column:
     return let(_pairs(_c(ring)), centroid)
 
 
+def line_moment(pts) -> Column:
+    """Of a line: its segments' middles times their lengths, summed."""
+    part = lambda s: F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]) / 2.0
+    return let(_c(pts), lambda p: point(*(_sum(_pairs(p), lambda s, k=k: (s["a"][k] + s["b"][k]) * part(s)) for k in "xy")))
+
+
 def line_centroid(pts) -> Column:
     """Of a line: its segments' middles, weighted by length; of a line without length its first point."""
-    part = lambda s: F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]) / 2.0
 
     def centroid(p):
-        mean = lambda k: let(F.struct(_sum(_pairs(p), lambda s: (s["a"][k] + s["b"][k]) * part(s)).alias("n"), length(p).alias("d")), lambda v: F.when(v["d"] > 0, v["n"] / v["d"]).otherwise(p[0][k]))
+        mean = lambda k: let(F.struct(line_moment(p)[k].alias("n"), length(p).alias("d")), lambda v: F.when(v["d"] > 0, v["n"] / v["d"]).otherwise(p[0][k]))
         return point(mean("x"), mean("y"))
 
     return let(_c(pts), centroid)

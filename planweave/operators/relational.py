@@ -65,13 +65,28 @@ def hinges(prims: DataFrame) -> DataFrame:
     return arcs.withColumn("k", F.row_number().over(w)).filter("k = 1").select("floor_id", "instance_id", G.circumcenter(p[0], F.get(p, F.floor(F.size(p) / 2).cast("int")), F.element_at(p, -1)).alias("hinge"))
 
 
+def exact_sum(c: Column) -> Column:
+    """A sum of doubles that doesn't depend on the rows' order: sorted, and what each addition loses is added at the end (Neumaier)."""
+
+    def step(acc, v):
+        t = acc["s"] + v
+        lost = F.when(F.abs(acc["s"]) >= F.abs(v), (acc["s"] - t) + v).otherwise((v - t) + acc["s"])
+        return F.struct(t.alias("s"), (acc["e"] + lost).alias("e"))
+
+    return F.aggregate(F.array_sort(F.collect_list(F.when(c != 0, c))), F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("e")), step, lambda acc: acc["s"] + acc["e"])
+
+
 def instance_centroids(prims: DataFrame) -> DataFrame:
-    """One centre for each object: its lines' middles weighted by length, the polygons' alone where it has any; rows without instance are their own objects."""
+    """One centre for each object: its lines' middles weighted by length, the polygons' alone where it has any; rows without instance are their own objects.
+
+    Sums are exact to a rounding, so that centres that lie between two thousandths don't depend on the rows' order."""
     area = F.when(F.col("kind") == "polygon", G.area("pts")).otherwise(0.0)
     own = prims.withColumn("object", F.when(F.coalesce(F.col("instance_id"), F.lit(-1)) < 0, -F.col("ord") - 2).otherwise(F.col("instance_id").cast("long")))
-    own = own.withColumn("semantic_id", F.coalesce("semantic_id", F.lit(-1))).withColumn("a", area).withColumn("c", F.when(F.col("a") > 0, G.ring_centroid("pts")).otherwise(G.line_centroid("pts"))).withColumn("l", F.when(F.col("kind") == "line", G.length("pts")).otherwise(0.0))
-    mean = lambda k: F.when(F.sum("a") > 0, F.sum(F.col("a") * F.col(f"c.{k}")) / F.sum("a")).when(F.sum("l") > 0, F.sum(F.col("l") * F.col(f"c.{k}")) / F.sum("l")).otherwise(F.avg(f"c.{k}"))
-    return own.groupBy("floor_id", "object", "semantic_id").agg(mean("x").alias("x"), mean("y").alias("y"))
+    own = own.withColumn("semantic_id", F.coalesce("semantic_id", F.lit(-1))).withColumn("a", area).withColumn("c", F.when(F.col("a") > 0, G.ring_centroid("pts")).otherwise(G.line_centroid("pts")))
+    own = own.withColumn("l", F.when(F.col("kind") == "line", G.length("pts")).otherwise(0.0)).withColumn("m", F.when(F.col("kind") == "line", G.line_moment("pts")))
+    sums = [exact_sum(F.col(c)).alias(c) for c in ("a", "l")] + [exact_sum(v).alias(n + k) for k in "xy" for n, v in (("a", F.col("a") * F.col(f"c.{k}")), ("m", F.col(f"m.{k}")))] + [F.avg(f"c.{k}").alias(f"c{k}") for k in "xy"]
+    mean = lambda k: F.when(F.col("a") > 0, F.col(f"a{k}") / F.col("a")).when(F.col("l") > 0, F.col(f"m{k}") / F.col("l")).otherwise(F.col(f"c{k}"))
+    return own.groupBy("floor_id", "object", "semantic_id").agg(*sums).select("floor_id", "object", "semantic_id", mean("x").alias("x"), mean("y").alias("y"))
 
 
 def _cells(df: DataFrame, names: tuple[str, str, str, str], cell: float) -> DataFrame:
