@@ -179,8 +179,8 @@ def geo13(spark, openings):
     shape = F.element_at(F.array(*kinds), (F.col("instance_id") % 4 + 1).cast("int"))
     lines = openings.select("floor_id", "instance_id", F.posexplode(shape).alias("ord", "l")).select("floor_id", "instance_id", F.col("ord").cast("long").alias("ord"), "l.*")
     p = floors.split_openings(lines)
-    first = F.min_by("part", "ord")
-    return p.groupBy("floor_id", "instance_id").agg(F.count_distinct("part").alias("parts"), F.count("*").alias("lines"), F.array_sort(F.collect_list("part")).alias("all"), first.alias("first")).select("floor_id", "instance_id", "parts", "lines", F.size(F.filter("all", lambda k: k == F.col("first"))).cast("long").alias("with_first"))
+    n = p.groupBy("floor_id", "instance_id", "part").agg(F.count("*").alias("n"), F.min("ord").alias("ord"))
+    return n.groupBy("floor_id", "instance_id").agg(F.count("*").alias("parts"), F.sum("n").alias("lines"), F.min_by("n", "ord").alias("with_first"))
 
 
 @query("jn1_faces_in_boxes", "cells", sql="""
