@@ -63,22 +63,34 @@ class Pieces:
                 self.byte_id[self.raw[i][0]] = i
                 self.weight[i] = -POWER * np.log(len(plain) + FLAT)
         data = [self.raw[i] for i in plain]
-        offs = np.cumsum([0, *map(len, data)])
-        h = Chunk(np.frombuffer(b"".join(data), np.uint8), offs, slice(0, len(data))).hashes(offs[:-1], offs[1:])
-        order = np.argsort(h)
-        self.hashes, self.ids = h[order], np.array(plain)[order]
-        self.near = np.zeros(1 << 20, bool)
-        self.near[(h >> U(44)).astype(np.int64)] = True
         self.lengths = sorted({len(x) for x in data})
+        # Hashes of the pieces and of what they begin with at these lengths, which have no id.
+        named = {x[:n]: -1 for x in data for n in self.lengths if n < len(x)} | dict(zip(data, plain, strict=True))
+        offs = np.cumsum([0, *map(len, named)])
+        h = Chunk(np.frombuffer(b"".join(named), np.uint8), offs, slice(0, len(named))).hashes(offs[:-1], offs[1:])
+        order = np.argsort(h)
+        self.hashes, self.ids = np.append(h[order], U(0)), np.append(np.array(list(named.values()))[order], -1)
+        #: The first of the sorted hashes with these leading bits, or the sentinel behind them all.
+        self.near = np.full(1 << 20, len(h), np.int32)
+        lead = (h[order] >> U(44)).astype(np.int64)
+        self.near[lead[::-1]] = np.arange(len(h), dtype=np.int32)[::-1]
+        self.chain = int(np.bincount(lead).max())
         self.inside = np.zeros(1 << 16, bool)  # which two bytes are neighbours in a piece
         for x in data:
             self.inside[[a << 8 | b for a, b in zip(x[:-1], x[1:], strict=True)]] = True
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        maybe = np.flatnonzero(self.near[(h >> U(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
-        ok = self.hashes[at] == h[maybe]
-        return maybe[ok], self.ids[at[ok]]
+        """Which of the hashes are of a piece or of its beginning, and the piece's id or -1."""
+        at = self.near[(h >> U(44)).view(np.int64)]
+        ok = self.hashes[at] == h
+        other = np.flatnonzero(~ok & (at < len(self.hashes) - 1))
+        for _ in range(self.chain - 1):
+            at[other] += 1
+            here = self.hashes[at[other]] == h[other]
+            ok[other[here]] = True
+            other = other[~here & (at[other] < len(self.hashes) - 1)]
+        hit = np.flatnonzero(ok)
+        return hit, self.ids[at[hit]]
 
     def decode(self, ids) -> str:
         return b"".join([self.raw[i] for i in ids])[1:].decode()
@@ -96,6 +108,13 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _scatter(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """x[i] at place[i]."""
+    out = np.empty_like(x)
+    out[place] = x
+    return out
+
+
 class Lattice:
     """Lattices of distinct units. Nodes are byte places; edges are sorted by node, with conditional log probabilities."""
 
@@ -105,43 +124,52 @@ class Lattice:
         size = np.diff(offs)
         end = np.repeat(offs[1:], size)
         head = (buf & 0xC0) != 0x80  # characters begin here
-        stop = np.append(head, True)
         at_head = np.flatnonzero(head)
         char = np.cumsum(head) - 1  # of each byte
         node, to, piece = [], [], []
         has_single = np.zeros(n, bool)
         nxt = np.append(at_head[1:], n)
-        open_ = at_head
+        open_ = at_head  # where a piece may go on
         for length in model.lengths:
             open_ = open_[open_ + length <= end[open_]]
-            at = open_[stop[open_ + length]]
-            hit, ids = model.find(chunk.hashes(at, at + length))
-            at = at[hit]
+            hit, ids = model.find(chunk.hashes(open_, open_ + length))
+            open_ = open_[hit]
+            at, ids = open_[ids >= 0], ids[ids >= 0]
             node.append(at)
             to.append(at + length)
             piece.append(ids)
             has_single[at[nxt[char[at]] == at + length]] = True
         bare = np.flatnonzero(~has_single[at_head[char]]) if n else np.zeros(0, np.int64)
-        node.append(bare)
-        to.append(bare + 1)
-        piece.append(model.byte_id[buf[bare]])
+        node, to, piece = [bare, *node], [bare + 1, *to], [model.byte_id[buf[bare]], *piece]
+        count, rank = np.zeros(n, np.int32), []  # of a node's edges, and each edge's place among them: shorter ones first
+        for at in node:
+            rank.append(count[at])
+            count[at] += 1
         node, to, piece = (np.concatenate([x.astype(np.int32) for x in part]) for part in (node, to, piece))
         end = end.astype(np.int32)
-        left = end[node] - node
-        order = np.argsort((left.astype(np.int64) * n + node) << 6 | (to - node))  # every key once, so that sums don't depend on the chunk
-        node, to, piece, left = node[order], to[order], piece[order], left[order]
+        # Nodes by what is left behind them: all that an edge leads to is solved before. Every edge has one place, so that sums don't depend on the chunk.
+        nodes = np.flatnonzero(count).astype(np.int32)
+        left = end[nodes] - nodes
+        order = np.argsort(left.astype(np.uint16) if (left < 1 << 16).all() else left, kind="stable")  # by radix where 16 bits do
+        nodes, left = nodes[order], left[order]
+        size = count[nodes]
+        begin = np.concatenate([[0], np.cumsum(size)])
+        place = np.zeros(n, np.int64)
+        place[nodes] = begin[:-1]
+        place = place[node] + np.concatenate(rank)
+        node, to, piece = np.repeat(nodes, size), _scatter(to, place), _scatter(piece, place)
         logw = model.weight[piece]
         beta = np.zeros(n + 1)
         total = np.full(n, -np.inf)
         done = to == end[node]
-        # Nodes by what is left behind them: all that an edge leads to is solved before.
         levels = np.concatenate([[0], np.flatnonzero(np.diff(left)) + 1, [len(left)]]) if len(left) else [0]
         for lo, hi in zip(levels[:-1], levels[1:], strict=True):
-            value = logw[lo:hi] + np.where(done[lo:hi], 0.0, beta[to[lo:hi]])
-            first = np.flatnonzero(np.concatenate([[True], node[lo + 1 : hi] != node[lo : hi - 1]]))
+            a, b = begin[lo], begin[hi]
+            value = logw[a:b] + np.where(done[a:b], 0.0, beta[to[a:b]])
+            first = begin[lo:hi] - a
             top = np.maximum.reduceat(value, first)
-            value = np.exp(value - np.repeat(top, np.diff(np.append(first, hi - lo))))
-            total[node[lo:hi][first]] = beta[node[lo:hi][first]] = top + np.log(np.add.reduceat(value, first))
+            value = np.exp(value - np.repeat(top, size[lo:hi]))
+            total[nodes[lo:hi]] = beta[nodes[lo:hi]] = top + np.log(np.add.reduceat(value, first))
         logp = np.minimum(logw + np.where(done, 0.0, beta[to]) - total[node], 0.0)
         p = (np.exp(logp) * 2.0**32).astype(np.int64)
         # By node, and likely edges first.

@@ -519,6 +519,30 @@ def test_pieces_of_a_long_unit():
     assert seconds[1] < 10 * seconds[0]
 
 
+def test_lattice_has_every_piece():
+    """Edges are all pieces that stand at a character, and a byte piece where no piece is that character; what begins no piece is dropped at once."""
+    import public_tokenizers
+
+    model = pieces.Pieces(str(public_tokenizers.path(pieces.MODEL)))
+    text = " international naïve 日本語 x😀y\n\nΩmega".encode()
+    chunk, starts, _ = pieces.units_of(model, [text])
+    lattice = pieces.Lattice(model, pieces.Chunk(chunk.buf, np.append(starts, len(chunk.buf)), slice(0, len(starts))))
+    names = {v: k for k, v in model.raw.items() if model.byte_id[v[0]] != k}
+    end = {int(a): int(b) for u, b in zip(starts, np.append(starts[1:], len(chunk.buf)), strict=True) for a in range(u, b)}
+    whole, want = chunk.buf.tobytes(), set()
+    for a in range(len(whole)):
+        head = max(i for i in range(a + 1) if whole[i] & 0xC0 != 0x80)
+        stop = min(i for i in range(a + 1, len(whole) + 1) if i == len(whole) or whole[i] & 0xC0 != 0x80)
+        if whole[head:stop] not in names:
+            want.add((a, a + 1, int(model.byte_id[whole[a]])))
+        if a == head:
+            want |= {(a, b, names[whole[a:b]]) for b in range(a + 1, end[a] + 1) if whole[a:b] in names}
+    got = [(int(a), end[int(a)] if b < 0 else int(b), int(p)) for a, b, p in zip(lattice.node, lattice.to, lattice.piece, strict=True)]
+    assert sorted(got) == sorted(want)
+    h = pieces.Chunk(np.frombuffer(b" internat" + b"\x00" * 9, np.uint8), np.array([0, 9, 18]), slice(0, 2)).hashes(np.array([0, 9]), np.array([9, 18]))
+    assert [x.tolist() for x in model.find(h)] == [[0], [names.get(b" internat", -1)]]
+
+
 def test_pieces_exhausted_and_seeded(spark):
     import public_tokenizers
 
